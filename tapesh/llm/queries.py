@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tapesh.llm import components, copies
+from tapesh.llm import chunks, components, copies, lookalike
 from tapesh.runtime import read
 
 
@@ -16,8 +16,28 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return copies.copies(read(spark, sf_dir, "posts"), "post_id", "txtContent")
 
 
-QUERIES = {"p1_found": p1_found, "p5_found": p5_found}
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lookalike.look_alike_pairs(read(spark, sf_dir, "posts"), "post_id", "txtContent")
+
+
+def p6_canonical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text in its one form."""
+    posts = read(spark, sf_dir, "posts").select("post_id", "txtContent")
+    return lookalike.canonical_text(posts, "txtContent", "canonical").select("post_id", "canonical")
+
+
+def p7_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunks.split_texts(read(spark, sf_dir, "posts"), "post_id", "txtContent")
+
+
+def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The posts that the operator cut."""
+    return p7_pieces(spark, sf_dir).where("n_pieces > 1").select("post_id").distinct()
+
+
+QUERIES = {"p1_found": p1_found, "p5_found": p5_found, "p6_found": p6_found, "p6_canonical": p6_canonical, "p7_found": p7_found, "p7_pieces": p7_pieces}
 ORACLES = {
+    "p7_found": "SELECT post_id FROM posts WHERE length(txtContent) > 800",
     "p1_found": """WITH RECURSIVE v AS (SELECT DISTINCT p.post_a AS a, p.post_b AS b FROM post_pairs p
   JOIN posts x ON x.post_id = p.post_a JOIN posts y ON y.post_id = p.post_b
   WHERE p.post_a <> p.post_b AND contains(x.location_entities, p.shared_location) AND contains(y.location_entities, p.shared_location)),
