@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tapesh.llm import chunks, components, copies, lookalike
+from tapesh.llm import bpe, chunks, components, copies, language, lookalike, packing
 from tapesh.runtime import read
 
 
@@ -35,7 +36,40 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p7_pieces(spark, sf_dir).where("n_pieces > 1").select("post_id").distinct()
 
 
-QUERIES = {"p1_found": p1_found, "p5_found": p5_found, "p6_found": p6_found, "p6_canonical": p6_canonical, "p7_found": p7_found, "p7_pieces": p7_pieces}
+def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode_texts(read(spark, sf_dir, "documents").select("doc_id", "text"), "text").select("doc_id", "ids")
+
+
+def p9_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sizes = bpe.count_tokens(read(spark, sf_dir, "documents").select("doc_id", "text"), "text")
+    return packing.pack(sizes, "doc_id", "n_tokens")
+
+
+def _languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = language.fit(read(spark, sf_dir, "lang_samples"), "sample_id", "sample_text", "lang")
+    return language.languages(read(spark, sf_dir, "documents"), "doc_id", "text", "lang", model)
+
+
+def p10_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's languages with their confidence."""
+    return _languages(spark, sf_dir)
+
+
+def p10_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every part of every document with its language and confidence."""
+    model = language.fit(read(spark, sf_dir, "lang_samples"), "sample_id", "sample_text", "lang")
+    parts = language.with_parts(read(spark, sf_dir, "documents").select("doc_id", "text"), "text", model)
+    return parts.select("doc_id", F.posexplode("parts").alias("part_no", "p")).select("doc_id", "part_no", "p.*")
+
+
+def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _languages(spark, sf_dir).where("is_wrong or n_langs > 1").select("doc_id", "lang")
+
+
+QUERIES = {
+    "p1_found": p1_found, "p5_found": p5_found, "p6_found": p6_found, "p6_canonical": p6_canonical, "p7_found": p7_found, "p7_pieces": p7_pieces,
+    "p8_ids": p8_ids, "p9_containers": p9_containers, "p10_found": p10_found, "p10_languages": p10_languages, "p10_segments": p10_segments,
+}
 ORACLES = {
     "p7_found": "SELECT post_id FROM posts WHERE length(txtContent) > 800",
     "p1_found": """WITH RECURSIVE v AS (SELECT DISTINCT p.post_a AS a, p.post_b AS b FROM post_pairs p
