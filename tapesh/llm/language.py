@@ -28,15 +28,21 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SAMPLES = 2000
-CENTROIDS = 4
-MIN_WORDS = 4
+CENTROIDS = 8
+MIN_WORDS = 6
 #: Cosine to the nearest centroid below which a part is rejected, and sharpness of the confidence.
-REJECT, SHARPNESS = 0.12, 0.04
+REJECT, SHARPNESS = 0.15, 0.03
 #: Confidence from which on a part makes a language of its own.
 SURE = 0.7
 HASHED = 1 << 14
+#: Labelled documents a language that widen() reads, and texts above which a gram has to occur twice.
+WIDENED, FEW = 200, 600
+#: Weight of grams that all languages have, and of grams that no sample has.
+FLOOR, UNSEEN = 0.05, 0.3
 
 _NOISE = re.compile(r"(?:https?://|www\.)\S+|\b[\w.+-]+@[\w-]+\.[\w.]+|[@#]\S+|\S*\d\S*", re.I)
+_NOISY = re.compile(r"[@#\d]|://|www\.", re.I)
+_ARABIC, _LATIN = re.compile("[\u0600-\u06ff]"), re.compile("[A-Za-z\u00c0-\u024f]")
 _WORD = re.compile(r"[^\W\d_]+(?:[’'‌][^\W\d_]+)*")
 _SENTENCE = re.compile(r"[^.!?؟…。\r\n|*—/]*(?:[.!?؟…。]+[\"'»”’)\]]*(?=\s|$)|[\r\n|*]+|\s[—/]\s|$|[.!?؟…。—/])", re.S)
 _FOLD = str.maketrans("يىكةأإآؤئ", "ییکهااایی", "ًٌٍَُِّْـ​‌‍‎‏⁠﻿­")
@@ -64,7 +70,9 @@ def label_language(label: Column) -> Column:
 
 
 def words_of(text: str) -> list[str]:
-    return _WORD.findall(_NOISE.sub(" ", text).translate(_FOLD).lower())
+    if _NOISY.search(text):
+        text = _NOISE.sub(" ", text)
+    return _WORD.findall(text.translate(_FOLD).lower())
 
 
 def _grams(word: str) -> list[str]:
@@ -77,18 +85,24 @@ def _grams(word: str) -> list[str]:
 class Centroids:
     """TF-IDF centroids of labelled texts."""
 
-    def __init__(self, texts: list[str], langs: list[str], k: int = CENTROIDS, rounds: int = 12):
+    def __init__(self, texts: list[str], langs: list[str], samples: list[tuple[str, str]] = (), k: int = CENTROIDS, rounds: int = 12):
+        self.samples = list(samples)
         bags = [Counter(g for w in words_of(t) for g in _grams(w)) for t in texts]
         df = Counter(g for b in bags for g in b)
-        self.index = {g: i for i, g in enumerate(sorted(df))}
+        least = 2 if len(bags) > FEW else 1
+        self.index = {g: i for i, g in enumerate(sorted(g for g in df if df[g] >= least))}
         v, n = len(self.index), len(bags)
-        self.idf = np.full(v + HASHED, np.log(1 + n), dtype=np.float32)
+        self.idf = np.full(v + HASHED, UNSEEN * np.log(1 + n), dtype=np.float32)
+        # a gram of many languages (of place names, say) tells little, whatever its frequency
+        spread = Counter(g for _, g in {(lang, g) for lang, b in zip(langs, bags, strict=True) for g in b})
+        many = len(set(langs))
         for g, i in self.index.items():
-            self.idf[i] = np.log((1 + n) / (1 + df[g])) + 0.1
+            self.idf[i] = np.log((1 + n) / (1 + df[g])) * (np.log(many / spread[g]) / np.log(max(many, 2)) + FLOOR)
         x = np.zeros((n, v), dtype=np.float32)
         for r, b in enumerate(bags):
             for g, c in b.items():
-                x[r, self.index[g]] = c * self.idf[self.index[g]]
+                if (i := self.index.get(g)) is not None:
+                    x[r, i] = c * self.idf[i]
         x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
         self.langs = sorted(set(langs))
         rows, owner = [], []
@@ -102,7 +116,7 @@ class Centroids:
         self.known: dict[str, tuple[np.ndarray, np.ndarray]] = {}
 
     def __getstate__(self) -> dict:
-        return self.__dict__ | {"known": {}}
+        return self.__dict__ | {"known": {}, "samples": []}
 
     def _word(self, word: str) -> tuple[np.ndarray, np.ndarray]:
         v = len(self.index)
@@ -158,7 +172,31 @@ def fit(samples: DataFrame, key: str, text: str, lang: str, most: int = SAMPLES)
     w = Window.partitionBy(lang).orderBy(key)
     rows = samples.where(F.col(text).isNotNull() & F.col(lang).isNotNull()).withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= most)
     found = [(r[0], r[1]) for r in rows.orderBy(lang, key).select(text, lang).collect()]
-    return Centroids([t for t, _ in found], [x for _, x in found])
+    return Centroids([t for t, _ in found], [x for _, x in found], found)
+
+
+def widen(model: Centroids, df: DataFrame, key: str, text: str, label: str, most: int = WIDENED, longest: int = 2000) -> Centroids:
+    """The model fitted again with sentences of labelled documents beside its samples.
+
+    Of each label the documents of smallest hash of the key, at most most of
+    them and none above longest characters, give up to two sentences each;
+    those count whose label the first model confirms.
+    """
+    rows = df.select(F.col(key).alias("k"), F.col(text).alias("t"), label_language(F.col(label)).alias("l"))
+    rows = rows.where(F.col("l").isin(*model.langs) & (F.length("t") <= longest) & (F.length("t") >= 20))
+    picked = None
+    for lang in model.langs:  # a sorted limit a language keeps most rows a task, however many there are
+        top = rows.where(F.col("l") == lang).orderBy(F.xxhash64("k"), "k").limit(most)
+        picked = top if picked is None else picked.unionByName(top)
+    texts, langs = [t for t, _ in model.samples], [x for _, x in model.samples]
+    if picked is None:
+        return model
+    for _, t, lang in sorted(tuple(r) for r in picked.collect()):
+        mine = [t[m.start() : m.end()] for m in _SENTENCE.finditer(t) if m.end() > m.start()]
+        mine = [x for x in mine if len(words := words_of(x)) >= MIN_WORDS and model.classify(words)[0] == lang]
+        texts += mine[:1] + mine[-1:] if len(mine) > 1 else mine
+        langs += [lang] * min(2, len(mine))
+    return Centroids(texts, langs, model.samples)
 
 
 def _is_arabic(word: str) -> bool:
@@ -167,6 +205,9 @@ def _is_arabic(word: str) -> bool:
 
 def _by_script(text: str, start: int, end: int) -> Iterator[tuple[int, int]]:
     """A sentence, cut where the script changes between runs of at least MIN_WORDS words."""
+    if not (_ARABIC.search(text, start, end) and _LATIN.search(text, start, end)):
+        yield start, end
+        return
     clean = _NOISE.sub(lambda m: " " * len(m.group()), text[start:end])
     words = [(m.start() + start, _is_arabic(m.group())) for m in _WORD.finditer(clean)]
     runs: list[list] = []

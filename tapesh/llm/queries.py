@@ -45,8 +45,13 @@ def p9_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(sizes, "doc_id", "n_tokens")
 
 
+def _language_model(spark: SparkSession, sf_dir: str) -> language.Centroids:
+    first = language.fit(read(spark, sf_dir, "lang_samples"), "sample_id", "sample_text", "lang")
+    return language.widen(first, read(spark, sf_dir, "documents"), "doc_id", "text", "lang")
+
+
 def _languages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    model = language.fit(read(spark, sf_dir, "lang_samples"), "sample_id", "sample_text", "lang")
+    model = _language_model(spark, sf_dir)
     return language.languages(read(spark, sf_dir, "documents"), "doc_id", "text", "lang", model)
 
 
@@ -57,7 +62,7 @@ def p10_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p10_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every part of every document with its language and confidence."""
-    model = language.fit(read(spark, sf_dir, "lang_samples"), "sample_id", "sample_text", "lang")
+    model = _language_model(spark, sf_dir)
     parts = language.with_parts(read(spark, sf_dir, "documents").select("doc_id", "text"), "text", model)
     return parts.select("doc_id", F.posexplode("parts").alias("part_no", "p")).select("doc_id", "part_no", "p.*")
 
