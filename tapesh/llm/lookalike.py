@@ -165,10 +165,24 @@ def canonizer(words: Sequence[tuple[str, int]], remembered: int = REMEMBERED) ->
 
 
 def vocabulary(df: DataFrame, text: str, size: int = VOCABULARY) -> list[tuple[str, int]]:
-    """The most frequent tokens of the whole column with their counts; of equally frequent ones the smaller."""
+    """At most size of the most frequent tokens of the whole column with their counts.
+
+    The cut is a power of two of the count, found from a histogram of as many
+    rows as there are powers, so that no task and no driver ever sorts or
+    holds more than the vocabulary.
+    """
     tokens = df.select(F.explode(F.split(text, r"(?U)\s+")).alias("w")).where((F.col("w") != "") & (F.length("w") <= 100))
-    top = tokens.groupBy("w").agg(F.count(F.lit(1)).alias("n")).orderBy(F.col("n").desc(), "w").limit(size)
-    return [(r["w"], r["n"]) for r in top.collect()]
+    counts = Scratch(df.sparkSession, "words").write(tokens.groupBy("w").agg(F.count(F.lit(1)).alias("n")))
+    power = F.floor(F.log2("n")).cast("int")
+    cut, total = None, 0
+    for p, words in sorted((tuple(r) for r in counts.groupBy(power.alias("p")).agg(F.count(F.lit(1)).alias("c")).collect()), reverse=True):
+        total += words
+        if total > size:
+            break
+        cut = p
+    if cut is None:
+        return []
+    return sorted((r["w"], r["n"]) for r in counts.where(power >= cut).select("w", "n").collect())
 
 
 def canonical_text(df: DataFrame, text: str, out: str, words: list[tuple[str, int]] | None = None) -> DataFrame:
