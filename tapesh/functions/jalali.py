@@ -106,3 +106,29 @@ def add_months(j: Column, months: Column) -> Column:
 def weekday(date: Column) -> Column:
     """Saturday 0 to Friday 6."""
     return F.dayofweek(date) % 7
+
+
+def day_of(y: int, m: int, d: int) -> int:
+    """Epoch day of a Jalali date, for code that runs in Python; ValueError if there is none."""
+    leap = y % 33 in LEAP_REMAINDERS
+    if not (1 <= m <= 12 and 1 <= d <= (31 if m <= 6 else 30 if m <= 11 else 29 + leap)):
+        raise ValueError("no such day")
+    n = y - 979
+    return 365 * n + n // 33 * 8 + (n % 33 + 3) // 4 + (31 * (m - 1) if m <= 7 else 186 + 30 * (m - 7)) + d - 1 + _BASE
+
+
+def date_of(day: int) -> tuple[int, int, int]:
+    """Jalali year, month and day of an epoch day."""
+    cycles, rest = divmod(day - _BASE, 12053)
+    fours, of_four = divmod(rest, 1461)
+    years, of_year = divmod(of_four - 1, 365) if of_four >= 366 else (0, of_four)
+    y = 979 + 33 * cycles + 4 * fours + years
+    return (y, of_year // 31 + 1, of_year % 31 + 1) if of_year < 186 else (y, (of_year - 186) // 30 + 7, (of_year - 186) % 30 + 1)
+
+
+def standard_time(value: Column) -> Column:
+    """TIMESTAMP_NTZ of a Jalali or Gregorian time as text; 1970-01-01 for what is missing or cannot be read."""
+    head = F.substring_index(F.replace(F.trim(value), F.lit("/"), F.lit("-")), " ", 1)
+    jalali = parse_jalali(head, "-").cast("timestamp_ntz")
+    gregorian = F.trim(value).try_cast("timestamp_ntz")
+    return F.coalesce(F.when(F.trim(value).rlike("^1[34]"), jalali).otherwise(gregorian), F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
