@@ -14,6 +14,8 @@ up for communities; empty tables give empty results.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -30,33 +32,74 @@ def similarity_edges(df: DataFrame, scope: str, row: str, vec: str, threshold: f
     met = rows.withColumn("_o", F.explode(F.sequence(F.lit(0), F.col("_nb") - 1)))
     met = met.select(scope, "id", "v", "b", F.least("b", "_o").alias("_lo"), F.greatest("b", "_o").alias("_hi"))
 
-    def meet(pdf: pd.DataFrame) -> pd.DataFrame:
-        lo, hi = pdf["_lo"].iat[0], pdf["_hi"].iat[0]
-        pdf = pdf.sort_values("id", kind="stable")
-        x = np.array(pdf["v"].tolist(), dtype=np.float64)
-        n = np.linalg.norm(x, axis=1, keepdims=True)
-        x = np.divide(x, n, out=np.zeros_like(x), where=n > 0)
-        ids, b = pdf["id"].to_numpy(), pdf["b"].to_numpy()
-        left, right = (np.arange(len(b)), np.arange(len(b))) if lo == hi else (np.flatnonzero(b == lo), np.flatnonzero(b == hi))
+    kinds = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    schema = f"`{scope}` {kinds[scope]}, src {kinds[row]}, dst {kinds[row]}, weight double"
+    at = [scope, "_lo", "_hi"]
+    return met.repartition(*at).sortWithinPartitions(*at, "id").mapInPandas(_meetings(scope, threshold), schema)
+
+
+def _meetings(scope: str, threshold: float) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """Runs of rows of one scope and two blocks, each as a matrix product; many small runs share a batch."""
+
+    def meet(ids: np.ndarray, x: np.ndarray, b: np.ndarray, lo: int, hi: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        left, right = (slice(None), slice(None)) if lo == hi else (np.flatnonzero(b == lo), np.flatnonzero(b == hi))
         s = x[left] @ x[right].T
         i, j = np.nonzero(s >= threshold)
-        a, c = ids[left[i]], ids[right[j]]
+        a, c = ids[left][i], ids[right][j]
         keep = a < c if lo == hi else a != c
-        return pd.DataFrame({scope: pdf[scope].iat[0], "src": np.minimum(a, c)[keep], "dst": np.maximum(a, c)[keep], "weight": s[i, j][keep]})
+        return np.minimum(a, c)[keep], np.maximum(a, c)[keep], s[i, j][keep]
 
-    kinds = {f.name: f.dataType.simpleString() for f in df.schema.fields}
-    schema = f"`{scope}` {kinds[scope]}, src {kinds[row]}, dst {kinds[row]}, weight double"
-    return met.groupBy(scope, "_lo", "_hi").applyInPandas(meet, schema)
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: list[pd.DataFrame] = []
+        for pdf in _then_none(batches):
+            if pdf is not None and not len(pdf):
+                continue
+            last = None if pdf is None else (pdf[scope].iat[-1], pdf["_lo"].iat[-1], pdf["_hi"].iat[-1])
+            if pdf is not None:
+                held.append(pdf)
+                first = held[0]
+                if last == (first[scope].iat[0], first["_lo"].iat[0], first["_hi"].iat[0]):
+                    continue  # the run may go on
+            if not held:
+                continue
+            rows = pd.concat(held, ignore_index=True) if len(held) > 1 else held[0].reset_index(drop=True)
+            keys = rows[[scope, "_lo", "_hi"]]
+            starts = np.flatnonzero((keys != keys.shift()).any(axis=1).to_numpy())
+            ends = np.append(starts[1:], len(rows))
+            whole = len(starts) if pdf is None else len(starts) - 1
+            held = [] if pdf is None else [rows.iloc[starts[-1] :]]
+            if not whole:
+                continue
+            n = ends[whole - 1]
+            x = np.array(rows["v"].iloc[:n].tolist(), dtype=np.float64)
+            length = np.linalg.norm(x, axis=1, keepdims=True)
+            x = np.divide(x, length, out=np.zeros_like(x), where=length > 0)
+            ids, b, los, his, scopes = (rows[c].to_numpy() for c in ("id", "b", "_lo", "_hi", scope))
+            found = []
+            for p, q in zip(starts[:whole], ends[:whole], strict=True):
+                if q - p > 1:
+                    src, dst, w = meet(ids[p:q], x[p:q], b[p:q], los[p], his[p])
+                    if len(src):
+                        found.append(pd.DataFrame({scope: np.repeat(scopes[p : p + 1], len(src)), "src": src, "dst": dst, "weight": w}))
+            if found:
+                yield pd.concat(found, ignore_index=True)
+
+    return run
+
+
+def _then_none(batches: Iterator) -> Iterator:
+    yield from batches
+    yield None
 
 
-def _star(edges: DataFrame, large: bool) -> DataFrame:
-    """One step; edges are (u, v) with u < v."""
+def _star(edges: DataFrame, large: bool, rows: int) -> DataFrame:
+    """One step; edges are (u, v) with u < v, and at most so many rows both ways."""
     if large:
         near = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     else:
         near = edges.select(F.col("v").alias("u"), F.col("u").alias("v"))
     least = near.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"), F.count(F.lit(1)).alias("n"))
-    hot = hot_values(least, "u", "n")
+    hot = hot_values(least, "u", "n", rows=rows)
     at = lookup_join(near, least.drop("n"), ["u"], hot, F.col("v"))
     far = at.where(F.col("v") > F.col("u")) if large else at
     out = far.select(F.col("m").alias("u"), F.col("v").alias("v"))
@@ -73,8 +116,10 @@ def connected_components(edges: DataFrame, u: str = "src", v: str = "dst") -> Da
     mark = lambda e: e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
     before = mark(cur)
     while before[0]:
-        new = scratch.write(_star(scratch.write(_star(cur, True)), False))
+        wide = scratch.write(_star(cur, True, 2 * before[0]))
+        new = scratch.write(_star(wide, False, 2 * before[0]))
         after = mark(new)
+        scratch.drop(wide, cur)
         cur = new
         if after == before:
             break
@@ -192,7 +237,10 @@ def communities(edges: DataFrame, scope: str, resolution: float = 1.0, most_edge
     comp = scratch.write(connected_components(e, "a", "b"))
     e = scratch.write(lookup_join(e, comp.select(F.col("node").alias("a"), F.col("component").alias("comp")), ["a"]))
     nodes = comp.select(F.col("node"), F.col("node").alias("c"))
-    heavy = scratch.write(e.groupBy("comp").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > most_edges))
+    sizes = scratch.write(e.groupBy("comp").agg(F.count(F.lit(1)).alias("n")))
+    pairs = e.join(sizes.where("n = 1").select("comp"), "comp", "left_semi")
+    e = e.join(sizes.where("n > 1").select("comp"), "comp", "left_semi")
+    heavy = sizes.where(F.col("n") > most_edges)
     inner = None
     while not heavy.isEmpty():
         big = e.join(heavy.select("comp"), "comp", "left_semi")
@@ -233,6 +281,8 @@ def communities(edges: DataFrame, scope: str, resolution: float = 1.0, most_edge
 
     kinds = {f.name: f.dataType.simpleString() for f in edges.schema.fields}
     found = ready.groupBy(scope, "comp").applyInPandas(run, f"`{scope}` {kinds[scope]}, c {kinds['src']}, community {kinds['src']}")
+    ends = F.explode(F.array("a", "b"))  # a component of one edge is one community
+    found = found.unionByName(pairs.select(scope, ends.alias("c"), F.col("a").alias("community")))
     found = nodes.join(found, "c")
     if inner is None:
         return found.select(scope, "node", "community")

@@ -40,6 +40,16 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A scan as it is, or dealt to all cores if it has fewer partitions than there are cores.
+
+    For stages whose work on a row far outweighs moving it. df is a scan with
+    at most filters and projections.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 _own_dir: str | None = None
 
 
@@ -104,12 +114,22 @@ def small(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if rows_up_to(df, most) <= most else df
 
 
-def hot_values(counts: DataFrame, key: str, n: str, share: float = HOT_SHARE, least: int = 50_000) -> list:
+#: No key of fewer rows is hot, whatever its share.
+HOT_ROWS = 50_000
+
+
+def hot_values(counts: DataFrame, key: str, n: str, share: float = HOT_SHARE, least: int | None = None, rows: int | None = None) -> list:
     """Keys that hold at least share of all rows counted (and so many rows): at most 1 / share values.
 
-    counts has one row a key, with its number of rows.
+    counts has one row a key, with its number of rows. rows, if given, is a
+    bound on all of them: where it is below least, nothing has to be counted.
     """
-    total = counts.agg(F.sum(n)).first()[0] or 0
+    least = HOT_ROWS if least is None else least
+    if rows is not None and rows < least:
+        return []
+    total, most = counts.agg(F.sum(n), F.max(n)).first()
+    if not total or most < max(least, total * share):
+        return []
     return [r[0] for r in counts.where(F.col(n) >= max(least, total * share)).select(key).collect()]
 
 
