@@ -21,6 +21,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tapesh.runtime import spread
+
 VOCABULARY_PATH = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: Fixed value: the pattern by which byte_bpe_50k cuts texts.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -119,7 +121,7 @@ def _shared(spark: SparkSession, path: str):
 
 def encode_texts(df: DataFrame, text: str, out: str = "ids", path: str = VOCABULARY_PATH) -> DataFrame:
     """df with out, the array of ids of text."""
-    ranks = _shared(df.sparkSession, path)
+    ranks, df = _shared(df.sparkSession, path), spread(df)
 
     @F.pandas_udf("array<int>")
     def ids(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -132,7 +134,7 @@ def encode_texts(df: DataFrame, text: str, out: str = "ids", path: str = VOCABUL
 
 def count_tokens(df: DataFrame, text: str, out: str = "n_tokens", path: str = VOCABULARY_PATH) -> DataFrame:
     """df with out, the number of ids of text; null for null."""
-    ranks = _shared(df.sparkSession, path)
+    ranks, df = _shared(df.sparkSession, path), spread(df)
 
     @F.pandas_udf("bigint")
     def number(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:

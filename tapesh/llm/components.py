@@ -34,35 +34,35 @@ def connected_groups(edges: DataFrame, scratch: Scratch | None = None) -> DataFr
     """node, root: for every node of edges (u, v bigint) the smallest node linked to it."""
     scratch = scratch or Scratch(edges.sparkSession, "groups")
     edges = scratch.write(_ends(edges.where(F.col("u").isNotNull() & F.col("v").isNotNull())), "edges")
-    rounds: list[DataFrame] = []
-    while not edges.isEmpty():
-        parents = _hook(scratch, edges)
-        hot = hot_values(_counts(edges, "u"), "u", "n")
+    rounds: list[tuple[DataFrame, int]] = []
+    while rows := edges.count():
+        parents = _hook(scratch, edges, 2 * rows)
+        hot = hot_values(_counts(edges, "u"), "u", "n", rows=rows)
         at = lookup_join(edges, parents.select(F.col("c").alias("u"), F.col("p").alias("ru")), ["u"], hot, F.col("v"))
-        hot = hot_values(_counts(edges, "v"), "v", "n")
+        hot = hot_values(_counts(edges, "v"), "v", "n", rows=rows)
         at = lookup_join(at, parents.select(F.col("c").alias("v"), F.col("p").alias("rv")), ["v"], hot, F.col("u"))
         left = scratch.write(_ends(at.select(F.col("ru").alias("u"), F.col("rv").alias("v"))), "edges")
         scratch.drop(edges)
-        rounds.append(parents)
+        rounds.append((parents, 2 * rows))
         edges = left
     if not rounds:
         return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
-    labels = rounds[-1]
-    for parents in reversed(rounds[:-1]):
-        hot = hot_values(_counts(parents, "p"), "p", "n")
+    labels = rounds[-1][0]
+    for parents, bound in reversed(rounds[:-1]):
+        hot = hot_values(_counts(parents, "p"), "p", "n", rows=bound)
         top = labels.select(F.col("c").alias("p"), F.col("p").alias("r"))
         labels = lookup_join(parents, top, ["p"], hot, F.col("c"), "left").select("c", F.coalesce("r", "p").alias("p"))
         labels = scratch.write(labels, "labels")
     return labels.select(F.col("c").alias("node"), F.col("p").alias("root"))
 
 
-def _hook(scratch: Scratch, edges: DataFrame) -> DataFrame:
-    """c, p: the root of each component's tree of selected edges."""
+def _hook(scratch: Scratch, edges: DataFrame, bound: int) -> DataFrame:
+    """c, p: the root of each component's tree of selected edges; there are at most bound components."""
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     parents = scratch.write(both.groupBy(F.col("u").alias("c")).agg(F.min("v").alias("p")), "selected")
     first = True
     while True:
-        hot = hot_values(_counts(parents, "p"), "p", "n")
+        hot = hot_values(_counts(parents, "p"), "p", "n", rows=bound)
         up = parents.select(F.col("c").alias("p"), F.col("p").alias("g"))
         jumped = lookup_join(parents, up, ["p"], hot, F.col("c"))
         if first:  # of two that select each other the smaller is the root
@@ -105,8 +105,9 @@ def link_posts(posts: DataFrame, pairs: DataFrame) -> DataFrame:
     real = F.col("post_a").isNotNull() & F.col("post_b").isNotNull() & (F.col("post_a") != F.col("post_b")) & F.col("shared_location").isNotNull()
     pairs = scratch.write(pairs.where(real).select(a, b, F.col("shared_location").alias("s")).distinct(), "pairs")
     side = lambda k: named.select(F.col("post_id").alias(k), F.col("c").alias(f"c{k}"), F.col("location_entities").alias(f"l{k}"))
-    at = lookup_join(pairs, side("a"), ["a"], hot_values(_counts(pairs, "a"), "a", "n"), F.col("b")).where(F.col("la").contains(F.col("s"))).drop("la")
-    at = lookup_join(at, side("b"), ["b"], hot_values(_counts(pairs, "b"), "b", "n"), F.col("a")).where(F.col("lb").contains(F.col("s")))
+    n = pairs.count()
+    at = lookup_join(pairs, side("a"), ["a"], hot_values(_counts(pairs, "a"), "a", "n", rows=n), F.col("b")).where(F.col("la").contains(F.col("s"))).drop("la")
+    at = lookup_join(at, side("b"), ["b"], hot_values(_counts(pairs, "b"), "b", "n", rows=n), F.col("a")).where(F.col("lb").contains(F.col("s")))
     groups = connected_groups(at.select(F.col("ca").alias("u"), F.col("cb").alias("v")), scratch)
 
     hot = hot_values(labels, "first", "n")

@@ -27,6 +27,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tapesh.runtime import spread
+
 SAMPLES = 2000
 CENTROIDS = 8
 MIN_WORDS = 6
@@ -268,7 +270,7 @@ def with_parts(df: DataFrame, text: str, model: Centroids, out: str = "parts") -
         for s in batches:
             yield pd.Series([[] if t is None else parts_of(t, model) for t in s], dtype=object)
 
-    return df.withColumn(out, run(text))
+    return spread(df).withColumn(out, run(text))
 
 
 def languages(df: DataFrame, key: str, text: str, label: str, model: Centroids) -> DataFrame:

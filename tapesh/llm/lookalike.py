@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tapesh.runtime import Scratch
+from tapesh.runtime import Scratch, spread
 
 #: Most frequent spellings that enter the trie; it is broadcast, some 100 bytes a word.
 VOCABULARY = 20_000
@@ -196,7 +196,7 @@ def canonical_text(df: DataFrame, text: str, out: str, words: list[tuple[str, in
         for s in batches:
             yield pd.Series([None if t is None else canonical(t) for t in s], dtype=object)
 
-    return df.withColumn(out, form(text))
+    return spread(df).withColumn(out, form(text))
 
 
 def look_prints(df: DataFrame, key: str, text: str, words: list[tuple[str, int]]) -> DataFrame:
@@ -211,7 +211,7 @@ def look_prints(df: DataFrame, key: str, text: str, words: list[tuple[str, int]]
             yield pd.DataFrame({"id": pdf["id"], "c1": [whole(b, 0) for b in c], "c2": [whole(b, 1) for b in c], "r": pdf["r"]})
 
     rows = df.select(F.col(key).alias("id"), F.col(text).alias("t"), F.xxhash64(text).alias("r")).where(F.col("id").isNotNull() & F.col("t").isNotNull())
-    return rows.mapInPandas(prints, "id bigint, c1 bigint, c2 bigint, r bigint")
+    return spread(rows).mapInPandas(prints, "id bigint, c1 bigint, c2 bigint, r bigint")
 
 
 def look_alike_pairs(df: DataFrame, key: str, text: str, size: int = VOCABULARY) -> DataFrame:
