@@ -7,6 +7,8 @@ valid_jalali() tells whether year, month and day name a day.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -95,12 +97,21 @@ def parse_jalali(text: Column, sep: str = "/") -> Column:
     return F.when(F.size(part) == 3, from_jalali(num(1), num(2), num(3)))
 
 
+def _let(value: Column, f: Callable[[Column], Column]) -> Column:
+    """f(value) with value worked out, and written into the plan, once."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
+
+
 def add_months(j: Column, months: Column) -> Column:
     """A to_jalali() struct moved by months, its day held to the length of the month reached."""
-    at = j["y"] * 12 + j["m"] - 1 + months
-    y = F.floor(at / F.lit(12)).cast("int")
-    m = (at - y * 12 + 1).cast("int")
-    return F.struct(y.alias("y"), m.alias("m"), F.least(j["d"], month_length(y, m)).cast("int").alias("d"))
+
+    def moved(x: Column) -> Column:
+        y = F.floor(x["at"] / F.lit(12)).cast("int")
+        m = (x["at"] - y * 12 + 1).cast("int")
+        return F.struct(y.alias("y"), m.alias("m"), F.least(x["d"], month_length(y, m)).cast("int").alias("d"))
+
+    start = _let(j, lambda x: F.when(x.isNotNull(), F.struct((x["y"] * 12 + x["m"] - 1 + months).alias("at"), x["d"].alias("d"))))
+    return _let(start, lambda x: F.when(x["at"].isNotNull(), moved(x)))
 
 
 def weekday(date: Column) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tapesh.operators import split_fields as S
 from tapesh.operators import timestamps as T
 from tapesh.operators import value_frequency as V
-from tapesh.runtime import Scratch, read, small
+from tapesh.runtime import read, small
 
 KEYS = ["key_kind", "key_value"]
 
@@ -51,8 +51,7 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     tweets = T.to_utc_micros(tweets.withColumn("_tz", F.lit("Asia/Tehran")), "shdate", "_tz", None)
     rows = posts.select(F.lit("posts").alias("src"), F.col("post_id").alias("row_key"), "utc_us")
     rows = rows.unionByName(tweets.select(F.lit("tweets_2").alias("src"), F.col("tweet_id").alias("row_key"), "utc_us"))
-    # written first: a filter on the result would be pushed into the cascade and copy it many times over
-    return Scratch(spark, "moments").write(rows).where(F.col("utc_us").isNotNull())
+    return rows.where(F.col("utc_us").isNotNull())
 
 
 QUERIES = {"p2_found": p2_found, "p2_value_stats": p2_value_stats, "p3_found": p3_found, "p4_found": p4_found}
