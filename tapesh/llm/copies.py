@@ -21,14 +21,17 @@ from tapesh.runtime import Scratch, hot_values, lookup_join
 _LAYOUT = r"[\p{P}$+<=>^`|~ \t\n\r\f\x0B]+"
 _BETWEEN = r"[\n\r|;؛]+"
 _FIELD = r"^[^\p{L}\p{N}:]*([\p{L}\p{M}\x{200C}][\p{L}\p{M}\x{200B}-\x{200F}\x{2060}\x{FEFF}\x{AD}\p{Zs}'’.-]{0,40}?)\s*[:：](.*)$"
-#: Joined forms, that upper case would take apart, and what holds their place.
-_JOINED, _KEPT = "ﬀﬁﬂﬃﬄﬅﬆŉǰ", ""
 _LOW = 0xFFFFFFFF
 
 
 def plain(text: Column) -> Column:
-    """Text without letter case, white space and punctuation. Dotless and dotted i fold alike, as capitals do."""
-    return F.regexp_replace(F.lower(F.upper(F.translate(text, _JOINED, _KEPT))), _LAYOUT, "")
+    """Text without letter case, white space and punctuation.
+
+    Letters whose capitals are the same fold alike: dotted and dotless i,
+    sharp s and two s, both sigmas.
+    """
+    low = F.translate(F.lower(F.translate(text, "\u0130", "i")), "\u0131\u03c2", "i\u03c3")
+    return F.regexp_replace(F.replace(low, F.lit("\u00df"), F.lit("ss")), _LAYOUT, "")
 
 
 def fields_of(text: Column) -> Column:

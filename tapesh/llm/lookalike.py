@@ -94,13 +94,20 @@ def _pictured(ch: str) -> bool:
     return unicodedata.category(ch) in ("So", "Sk") or ch == "\ufe0f"
 
 
+def well_spelt(word: str) -> bool:
+    """Whether a word may be a canonical spelling: nothing in disguise, Arabic and Persian forms both count as plain."""
+    return unicodedata.normalize("NFC", word) == word and all(unicodedata.normalize("NFC", units_of(ch)) == ch or ch in _ARABIC[0] for ch in word)
+
+
 class Trie:
-    """Words by what they look like; an end holds the most frequent spelling."""
+    """Well-spelt words by what they look like; an end holds the most frequent spelling."""
 
     def __init__(self, words: Sequence[tuple[str, int]], look: Look):
         self.look = look
         self.root: dict = {}
         for word, n in words:
+            if not well_spelt(word):
+                continue
             node = self.root
             for unit in look.units(word):
                 node = node.setdefault(unit, {})
@@ -111,32 +118,32 @@ class Trie:
     def find(self, token: str, budget: int = 0) -> str | None:
         """The best spelling within the budget: least cost, then most frequent, then smallest."""
         states: dict[int, tuple[dict, int]] = {id(self.root): (self.root, 0)}
-        for unit in self.look.units(token):  # look-alikes, forms and ignorables cost nothing here
-            after: dict[int, tuple[dict, int]] = {}
 
-            def reach(node: dict, cost: int, after: dict = after) -> None:
-                if cost <= budget and (id(node) not in after or after[id(node)][1] > cost):
-                    after[id(node)] = (node, cost)
+        def reach(into: dict[int, tuple[dict, int]], node: dict, cost: int) -> None:
+            """A state, and those that follow it by characters of the word that the token lacks."""
+            if cost <= budget and (id(node) not in into or into[id(node)][1] > cost):
+                into[id(node)] = (node, cost)
+                if cost < budget:
+                    for other, child in node.items():
+                        if other:
+                            reach(into, child, cost + 1)
 
+        if budget:
+            states = {}
+            reach(states, self.root, 0)
+        for unit in self.look.units(token):  # look-alikes, forms and ignorables cost nothing here
+            after: dict[int, tuple[dict, int]] = {}
             for node, cost in states.values():
                 if unit in node:
-                    reach(node[unit], cost)
+                    reach(after, node[unit], cost)
                 if cost < budget:
-                    reach(node, cost + 1)
+                    reach(after, node, cost + 1)
                     for other, child in node.items():
                         if other and other != unit:
-                            reach(child, cost + 1)
+                            reach(after, child, cost + 1)
             states = after
             if not states:
                 return None
-        if budget:
-            todo = list(states.values())
-            while todo:
-                node, cost = todo.pop()
-                for other, child in node.items():
-                    if other and cost < budget and (id(child) not in states or states[id(child)][1] > cost + 1):
-                        states[id(child)] = (child, cost + 1)
-                        todo.append((child, cost + 1))
         ends = [(cost, *node[""]) for node, cost in states.values() if "" in node]
         return min(ends)[2] if ends else None
 
