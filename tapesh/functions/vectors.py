@@ -35,11 +35,22 @@ def or_zeros(a: Column, dim: int) -> Column:
     return F.coalesce(a, F.array_repeat(F.lit(0.0).cast("float"), dim))
 
 
+#: Elements of a vector that are aggregated as columns of one row.
+BLOCK = 32
+
+
 def positional(df: DataFrame, keys: Sequence[str], vec: Column, how: str, out: str) -> DataFrame:
-    """keys, out: element-wise 'sum' or 'avg' of vectors, combined before the shuffle."""
-    parts = df.select(*keys, F.posexplode(vec).alias("_i", "_x")).groupBy(*keys, "_i").agg(getattr(F, how)(F.col("_x").cast("double")).alias("_x"))
+    """keys, out: element-wise 'sum' or 'avg' of vectors, combined before the shuffle.
+
+    A vector goes as a row per BLOCK elements, whose sums are columns, not as
+    a row per element. Elements that are null in all vectors are left out.
+    """
+    blocks = F.transform(F.sequence(F.lit(0), F.greatest(F.size(vec) - 1, F.lit(0)), F.lit(BLOCK)), lambda i: F.slice(vec, i + 1, BLOCK))
+    rows = df.where(F.size(vec) > 0).select(*keys, F.posexplode(blocks).alias("_i", "_b"))
+    each = [getattr(F, how)(F.get("_b", F.lit(j)).cast("double")).alias(f"_x{j}") for j in range(BLOCK)]
+    parts = rows.groupBy(*keys, "_i").agg(*each).select(*keys, "_i", F.array(*[f"_x{j}" for j in range(BLOCK)]).alias("_x"))
     ordered = parts.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("_i", "_x"))).alias("_a"))
-    return ordered.select(*keys, F.transform("_a", lambda p: p["_x"]).alias(out))
+    return ordered.select(*keys, F.filter(F.flatten(F.transform("_a", lambda p: p["_x"])), lambda x: x.isNotNull()).alias(out))
 
 
 def centroids(df: DataFrame, keys: Sequence[str], vec: str, out: str = "centroid") -> DataFrame:

@@ -17,6 +17,8 @@ from tapesh.functions.jalali import format_jalali, to_jalali
 from tapesh.operators.graph import connected_components, similarity_edges
 
 KEYS = ["day", "cluster"]
+#: Slices of a cluster's terms.
+TERM_SLICES = 8
 
 
 def merge_clusters(messages: DataFrame, member: DataFrame, cfg: EngineConfig) -> DataFrame:
@@ -103,7 +105,12 @@ def keyword_scores(messages: DataFrame, member: DataFrame, cfg: EngineConfig) ->
     """
     rows = messages.select("msg_id", "text", "vec").join(member, "msg_id").withColumn("_norm", T.normalize_text(F.col("text")))
     terms = term_counts(rows, KEYS, "text", cfg.min_term_count)
-    holding = rows.select(*KEYS, "vec", "_norm").join(terms, KEYS).where(F.col("_norm").contains(F.col("term")))
+    # every term meets every member of its cluster; the terms are dealt to slices, so that a cluster is not one task's work
+    n = max(TERM_SLICES, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    dealt = terms.select(*KEYS, "term", F.pmod(F.xxhash64("term"), F.lit(TERM_SLICES)).alias("_slice"))
+    copies = rows.select(*KEYS, "vec", "_norm", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(TERM_SLICES - 1).cast("long"))).alias("_slice"))
+    at = [*KEYS, "_slice"]
+    holding = copies.repartition(n, *at).join(dealt.repartition(n, *at), at).where(F.col("_norm").contains(F.col("term")))
     means = V.centroids(holding, [*KEYS, "term"], "vec", "_mean").join(terms, [*KEYS, "term"])
     scored = means.join(V.centroids(rows, KEYS, "vec"), KEYS)
     score = F.round(0.7 * V.cosine(F.col("_mean"), F.col("centroid")) + 0.3 * F.log1p(F.col("freq").cast("double")), 6)

@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tapesh.runtime import Scratch, hot_values, lookup_join, small
+from tapesh.runtime import HOT_ROWS, Scratch, hot_values, lookup_join, small
 
 
 def similarity_edges(df: DataFrame, scope: str, row: str, vec: str, threshold: float, block_rows: int = 2048) -> DataFrame:
@@ -116,8 +116,11 @@ def connected_components(edges: DataFrame, u: str = "src", v: str = "dst") -> Da
     mark = lambda e: e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
     before = mark(cur)
     while before[0]:
-        wide = scratch.write(_star(cur, True, 2 * before[0]))
-        new = scratch.write(_star(wide, False, 2 * before[0]))
+        rows = 2 * before[0]
+        wide = _star(cur, True, rows)
+        if rows >= HOT_ROWS:  # else nothing has to be counted between the steps
+            wide = scratch.write(wide)
+        new = scratch.write(_star(wide, False, rows))
         after = mark(new)
         scratch.drop(wide, cur)
         cur = new
