@@ -180,15 +180,19 @@ def fit(samples: DataFrame, key: str, text: str, lang: str, most: int = SAMPLES)
 def widen(model: Centroids, df: DataFrame, key: str, text: str, label: str, most: int = WIDENED, longest: int = 2000) -> Centroids:
     """The model fitted again with sentences of labelled documents beside its samples.
 
-    Of each label the documents of smallest hash of the key, at most most of
-    them and none above longest characters, give up to two sentences each;
-    those count whose label the first model confirms.
+    Of each label a sample by hash of the key, at most most documents and none
+    above longest characters, gives up to two sentences each; those count
+    whose label the first model confirms. The sample only trains the model:
+    every document is classified.
     """
     rows = df.select(F.col(key).alias("k"), F.col(text).alias("t"), label_language(F.col(label)).alias("l"))
     rows = rows.where(F.col("l").isin(*model.langs) & (F.length("t") <= longest) & (F.length("t") >= 20))
     picked = None
-    for lang in model.langs:  # a sorted limit a language keeps most rows a task, however many there are
-        top = rows.where(F.col("l") == lang).orderBy(F.xxhash64("k"), "k").limit(most)
+    counts = dict(tuple(r) for r in rows.groupBy("l").agg(F.count(F.lit(1))).collect())
+    for lang in model.langs:
+        # rows are thinned by hash to a few times what is picked, so that tasks send the driver that and no more
+        thin = max(1, counts.get(lang, 0) // (8 * most))
+        top = rows.where((F.col("l") == lang) & (F.pmod(F.xxhash64("k", F.lit(7)), F.lit(thin)) == 0)).orderBy(F.xxhash64("k"), "k").limit(most)
         picked = top if picked is None else picked.unionByName(top)
     texts, langs = [t for t, _ in model.samples], [x for _, x in model.samples]
     if picked is None:
