@@ -12,12 +12,14 @@ import re
 from collections.abc import Callable, Iterator
 from zlib import crc32
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tapesh.config import EngineConfig
 from tapesh.functions import text as T
+from tapesh.runtime import worked_out
 
 
 def _batches(texts: list[str], size: int) -> Iterator[list[str]]:
@@ -45,7 +47,7 @@ def model_classifier(factory: Callable[[], Callable[[list[str]], list[int]]], ba
 
 def classify(df: DataFrame, text: str, classifier: Callable[[Column], Column]) -> DataFrame:
     """df with clean_text, predicted_class and passed_filter: class 1 and more than two characters."""
-    out = df.withColumn("clean_text", T.clean_text(F.col(text)))
+    out = worked_out(df.withColumn("clean_text", T.clean_text(F.col(text))), "clean_text")
     out = out.withColumn("predicted_class", classifier(F.col("clean_text")))
     return out.withColumn("passed_filter", (F.col("predicted_class") == 1) & (F.length("clean_text") > 2))
 
@@ -56,16 +58,29 @@ def classify(df: DataFrame, text: str, classifier: Callable[[Column], Column]) -
 def hashing_embedder(dim: int = 64) -> Callable[[Column], Column]:
     """Signed hashed bags of words and letter triples, of length 1."""
 
-    def one(text: str) -> list[float]:
-        v = [0.0] * dim
-        for w in text.lower().split():
+    def factory() -> Callable[[list[str]], list[list[float]]]:
+        known: dict[str, np.ndarray] = {}
+
+        def of_word(w: str) -> np.ndarray:
+            v = np.zeros(dim, dtype=np.float32)
             for g in [w, *(f"_{w}_"[i : i + 3] for i in range(len(w)))]:
                 h = crc32(g.encode("utf-8", "surrogatepass"))
                 v[h % dim] += 1.0 if h >> 16 & 1 else -1.0
-        n = sum(x * x for x in v) ** 0.5
-        return [x / n for x in v] if n else v
+            if len(known) < 200_000:
+                known[w] = v
+            return v
+
+        def one(text: str) -> list[float]:
+            words = text.lower().split()
+            if not words:
+                return [0.0] * dim
+            v = np.add.reduce([known[w] if w in known else of_word(w) for w in words])
+            n = float(np.sqrt((v * v).sum()))
+            return (v / n if n else v).tolist()
+
+        return lambda texts: [one(t) for t in texts]
 
-    return model_embedder(lambda: lambda texts: [one(t) for t in texts])
+    return model_embedder(factory)
 
 
 def model_embedder(factory: Callable[[], Callable[[list[str]], list[list[float]]]], batch: int = 128, dim: int | None = None) -> Callable[[Column], Column]:

@@ -15,6 +15,7 @@ from tapesh.functions import text as T
 from tapesh.functions import vectors as V
 from tapesh.functions.jalali import format_jalali, to_jalali
 from tapesh.operators.graph import connected_components, similarity_edges
+from tapesh.runtime import Scratch
 
 KEYS = ["day", "cluster"]
 #: Slices of a cluster's terms.
@@ -81,13 +82,17 @@ def apply_rules(stats: DataFrame, cfg: EngineConfig) -> DataFrame:
 
 
 def representatives(sims: DataFrame, cfg: EngineConfig) -> DataFrame:
-    """day, cluster, msg_id, rank: up to top_messages members all, in order of id; else those nearest to the centroid."""
+    """day, cluster, msg_id, rank: up to top_messages members all, in order of id; else those nearest to the centroid.
+
+    Both ranks are limited per task before the shuffle, so no task sorts a whole cluster.
+    """
+    k = cfg.top_messages
     by = Window.partitionBy(*KEYS)
-    near = F.row_number().over(by.orderBy(F.round("sim", 9).desc(), "msg_id"))
-    ids = F.row_number().over(by.orderBy("msg_id"))
-    out = sims.select("*", F.count(F.lit(1)).over(by).alias("_n"), near.alias("_near"), ids.alias("_id"))
-    rank = F.when(F.col("_n") <= cfg.top_messages, F.col("_id")).otherwise(F.col("_near"))
-    return out.select(*KEYS, "msg_id", rank.alias("rank")).where(F.col("rank") <= cfg.top_messages)
+    sizes = sims.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("_n"))
+    rows = sims.select(*KEYS, "msg_id", F.round("sim", 9).alias("sim"))
+    few = rows.join(sizes.where(F.col("_n") <= k), KEYS, "left_semi").withColumn("rank", F.row_number().over(by.orderBy("msg_id"))).where(F.col("rank") <= k)
+    many = rows.join(sizes.where(F.col("_n") > k), KEYS, "left_semi").withColumn("rank", F.row_number().over(by.orderBy(F.col("sim").desc(), "msg_id"))).where(F.col("rank") <= k)
+    return few.unionByName(many).select(*KEYS, "msg_id", "rank")
 
 
 def term_counts(rows: DataFrame, keys: list[str], text: str, least: int = 2) -> DataFrame:
@@ -123,8 +128,9 @@ def candidates(messages: DataFrame, member: DataFrame, cfg: EngineConfig) -> Dat
     """Candidate records (schemas.CANDIDATE with the flags) of merged clusters of at least two members."""
     sizes = member.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("_n"))
     member = member.join(sizes.where("_n > 1").select(*KEYS), KEYS, "left_semi")
-    member = merge_clusters(messages, member, cfg)
-    accepted = apply_rules(statistics(messages, member, cfg), cfg)
+    scratch = Scratch(messages.sparkSession, "candidates")  # both are read several times below
+    member = scratch.write(merge_clusters(messages, member, cfg), "merged")
+    accepted = scratch.write(apply_rules(statistics(messages, member, cfg), cfg), "accepted")
     first = member.groupBy(*KEYS).agg(F.min("msg_id").alias("first"))
     accepted = accepted.join(first, KEYS)
     n = F.row_number().over(Window.partitionBy("day").orderBy("first"))

@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tapesh.functions import jalali as J
+from tapesh.runtime import worked_out
 
 # Names of months, and digits.
 ENGLISH_MONTHS = ("jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec")
@@ -54,12 +55,6 @@ def known_zones(df: DataFrame) -> list[str]:
     return sorted(df.sparkSession._jvm.java.time.ZoneId.getAvailableZoneIds())
 
 
-def _worked_out(t: DataFrame, *columns: str) -> DataFrame:
-    """t with these columns behind a generator: what uses them later reads them, and no optimizer rule copies how they came about."""
-    rest = [c for c in t.columns if c not in columns]
-    return t.select(*rest, F.explode(F.array(F.struct(*columns))).alias("_s")).select(*rest, "_s.*")
-
-
 def to_utc_micros(df: DataFrame, value: str, zone: str, date_order: str | None, out: str = "utc_us") -> DataFrame:
     """df with out: microseconds since 1970-01-01 UTC of the moment that value names, or null.
 
@@ -80,7 +75,7 @@ def to_utc_micros(df: DataFrame, value: str, zone: str, date_order: str | None,
     plain = F.col("_v").rlike(r"^\d+$")
     dated = F.length("_v").isin(8, 12, 14) & F.col("_v").rlike("^(?:1[34]|19|20)")
     t = t.withColumn("_k", F.when(F.length("_v") <= 80, F.when(plain & ~dated, 5).otherwise(kind)))
-    t = _worked_out(t.withColumn("_p", F.split(parts, r"\|")), "_v", "_k", "_p")
+    t = worked_out(t.withColumn("_p", F.split(parts, r"\|")), "_v", "_k", "_p")
     item = lambda i: F.nullif(F.get(F.col("_p"), F.lit(i)), F.lit(""))
     month = item(1)
     low = F.lower(F.substring(month, 1, 3))
@@ -89,7 +84,7 @@ def to_utc_micros(df: DataFrame, value: str, zone: str, date_order: str | None,
     swap = (F.col("_k") == 1) & (F.coalesce(F.col("_order"), F.lit("dmy")) == "dmy")
     t = t.withColumns({"_m": F.when(swap, F.col("_d")).otherwise(F.col("_m")), "_d": F.when(swap, F.col("_m")).otherwise(F.col("_d"))})
     y, m, d = F.col("_y"), F.col("_m"), F.col("_d")
-    t = _worked_out(t, "_y", "_m", "_d", "_named")
+    t = worked_out(t, "_y", "_m", "_d", "_named")
     is_jalali = y.between(1300, 1499)
     fits = F.when(is_jalali, F.coalesce(F.col("_named") == "j", F.lit(True)) & J.valid_jalali(y, m, d)).otherwise(F.coalesce(F.col("_named") == "g", F.lit(True)) & J.valid_gregorian(y, m, d))
     day = F.when(fits, F.when(is_jalali, J.jalali_to_epoch_day(y, m, d)).otherwise(J.gregorian_to_epoch_day(y, m, d)))
@@ -98,7 +93,7 @@ def to_utc_micros(df: DataFrame, value: str, zone: str, date_order: str | None,
     minute, second = F.coalesce(item(4).try_cast("int"), F.lit(0)), F.coalesce(item(5).try_cast("int"), F.lit(0))
     micros = F.rpad(F.substring(F.coalesce(item(6), F.lit("0")), 1, 6), 6, "0").cast("int")
     t = t.withColumns({"_day": day, "_hour": hour.cast("long"), "_min": minute.cast("long"), "_sec": second.cast("long"), "_us": micros, "_z": F.coalesce(item(8), item(9))})
-    t = _worked_out(t, "_day", "_hour", "_min", "_sec", "_us", "_z")
+    t = worked_out(t, "_day", "_hour", "_min", "_sec", "_us", "_z")
     right = F.col("_hour").between(0, 23) & F.col("_min").between(0, 59) & F.col("_sec").between(0, 59)
     local = F.when(right, F.col("_day").cast("long") * 86_400_000_000 + F.col("_hour") * 3_600_000_000 + F.col("_min") * 60_000_000 + F.col("_sec") * 1_000_000 + F.col("_us"))
     whole = item(0).try_cast("decimal(20,0)")
@@ -111,7 +106,7 @@ def to_utc_micros(df: DataFrame, value: str, zone: str, date_order: str | None,
     offset = F.when((oh <= 18) & (om <= 59), (sign * (oh * 60 + om)).cast("long") * 60_000_000)
     name = F.when(z.isNull(), F.coalesce(F.col("_default"), F.lit("UTC"))).otherwise(F.regexp_replace(z, r"[\[\]]", ""))
     name = F.when(F.upper(name).isin("Z", "UTC", "GMT"), "UTC").when(name.isin(zones), name)
-    t = _worked_out(t.withColumn("_zone", name), "_local", "_unix", "_zone")
+    t = worked_out(t.withColumn("_zone", name), "_local", "_unix", "_zone")
     at = F.when(F.col("_k") == 5, F.col("_unix")).when(z.rlike("^[+-]"), F.col("_local") - offset).when(F.col("_zone") == "UTC", F.col("_local"))
     at = at.otherwise(F.unix_micros(F.to_utc_timestamp(F.timestamp_micros(F.col("_local")), F.col("_zone"))))
-    return _worked_out(t.select("_row", at.alias("_at")), "_at").select("_row.*", F.col("_at").alias(out))
+    return worked_out(t.select("_row", at.alias("_at")), "_at").select("_row.*", F.col("_at").alias(out))

@@ -23,7 +23,7 @@ from tapesh.models import interfaces as M
 from tapesh.operators import candidates as C
 from tapesh.operators import graph as G
 from tapesh.operators import keycluster as K
-from tapesh.runtime import Scratch
+from tapesh.runtime import Scratch, spread
 from tapesh.sinks import writers as W
 
 
@@ -49,7 +49,7 @@ def detect(messages: DataFrame, cfg: EngineConfig, models: Models | None = None,
     scratch = Scratch(messages.sparkSession, "detect")
     classified = M.classify(messages, "text", models.classifier)
     kept = classified.where("passed_filter").select(F.to_date("ts").alias("day"), "msg_id", F.col("clean_text").alias("text"), "ts")
-    embedded = scratch.write(kept.withColumn("vec", models.embedder(F.col("text"))), "embedded")
+    embedded = scratch.write(spread(kept).withColumn("vec", models.embedder(F.col("text"))), "embedded")
     edges = scratch.write(G.similarity_edges(embedded, "day", "msg_id", "vec", cfg.similarity, cfg.block_rows), "edges")
     found = G.communities(edges, "day")
     member = scratch.write(found.select("day", F.col("node").alias("msg_id"), F.col("community").alias("cluster")), "member")

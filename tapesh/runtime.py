@@ -40,6 +40,12 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def worked_out(df: DataFrame, *columns: str) -> DataFrame:
+    """df with these columns behind a generator: what uses them later reads them, and no optimizer rule copies how they came about."""
+    rest = [c for c in df.columns if c not in columns]
+    return df.select(*rest, F.explode(F.array(F.struct(*columns))).alias("_s")).select(*rest, "_s.*")
+
+
 def spread(df: DataFrame) -> DataFrame:
     """A scan as it is, or dealt to all cores if it has fewer partitions than there are cores.
 
