@@ -4,8 +4,8 @@ similarity_edges is exact: within a scope the vectors are dealt to blocks and
 every two blocks meet in one task, as a matrix product, so a task holds two
 blocks however large the scope is. connected_components alternates large-star
 and small-star steps over the edge table. communities runs Leiden on pieces
-that are never connected to one another; a component above a bound is first
-coarsened by merging mutual heaviest neighbours.
+that are never connected to one another, each whole in a task whatever its
+size: a task holds the edges of one component as flat arrays.
 
 Defined cases: null and zero vectors have no similar ones; loops and edges
 with a null end are void; repeated edges count once for components and add
@@ -18,6 +18,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -132,22 +133,24 @@ def connected_components(edges: DataFrame, u: str = "src", v: str = "dst") -> Da
 
 # ---- communities
 
+#: Neighbours up to which a dictionary is quicker than arrays.
+FEW = 64
 
-def leiden(n: int, src: np.ndarray, dst: np.ndarray, weight: np.ndarray, own: np.ndarray, total: float, resolution: float = 1.0) -> np.ndarray:
+
+def leiden(n: int, src: np.ndarray, dst: np.ndarray, weight: np.ndarray, total: float, resolution: float = 1.0) -> np.ndarray:
     """Community of each of n nodes by modularity (Traag, Waltman, van Eck 2019), in fixed order, without chance.
 
-    own is each node's inner weight (of nodes merged before), total the weight of the whole graph.
+    Every pair is an edge once at most; total is the weight of the whole graph.
     """
     member = np.arange(n)
     part = np.arange(n)
+    own = np.zeros(n)  # inner weight of nodes merged in earlier rounds
     while True:
-        adj: list[dict[int, float]] = [{} for _ in range(n)]
-        for a, b, w in zip(src.tolist(), dst.tolist(), weight.tolist(), strict=True):
-            adj[a][b] = adj[a].get(b, 0.0) + w
-            adj[b][a] = adj[b].get(a, 0.0) + w
-        degree = np.array([sum(x.values()) for x in adj]) + 2 * own
+        adj = _Adjacency(n, src, dst, weight)
+        degree = adj.sums() + 2 * own
         part = _move(adj, degree, part, total, resolution)
         fine = _refine(adj, degree, part, total, resolution)
+        del adj
         _, fine = np.unique(fine, return_inverse=True)
         k = int(fine.max()) + 1 if n else 0
         if k == n:
@@ -165,18 +168,41 @@ def leiden(n: int, src: np.ndarray, dst: np.ndarray, weight: np.ndarray, own: np
         part, member, n = coarse, fine[member], k
 
 
-def _gains(adj: dict[int, float], part: np.ndarray) -> dict[int, float]:
+class _Adjacency:
+    """Neighbours of each node and their weights in two flat arrays, in the order of the edges."""
+
+    def __init__(self, n: int, src: np.ndarray, dst: np.ndarray, weight: np.ndarray):
+        ends = np.column_stack([src, dst]).ravel()
+        order = np.argsort(ends, kind="stable")
+        self.n = n
+        self.start = np.concatenate([[0], np.cumsum(np.bincount(ends, minlength=n))]).tolist()
+        self.to = np.column_stack([dst, src]).ravel()[order]
+        self.weight = weight[order // 2]
+
+    def of(self, i: int) -> tuple[np.ndarray, np.ndarray]:
+        at = slice(self.start[i], self.start[i + 1])
+        return self.to[at], self.weight[at]
+
+    def sums(self) -> np.ndarray:
+        return np.array([sum(self.of(i)[1].tolist()) for i in range(self.n)], dtype=float)
+
+
+def _gains(part: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Parts in rising order, and the weight to each."""
+    if len(part) > FEW:
+        parts, at = np.unique(part, return_inverse=True)
+        return parts, np.bincount(at, weights=weight, minlength=len(parts))
     out: dict[int, float] = {}
-    for j, w in adj.items():
-        c = int(part[j])
+    for c, w in zip(part.tolist(), weight.tolist(), strict=True):
         out[c] = out.get(c, 0.0) + w
-    return out
+    parts = sorted(out)
+    return np.array(parts, dtype=int), np.array([out[c] for c in parts], dtype=float)
 
 
-def _move(adj: list, degree: np.ndarray, part: np.ndarray, total: float, resolution: float) -> np.ndarray:
+def _move(adj: _Adjacency, degree: np.ndarray, part: np.ndarray, total: float, resolution: float) -> np.ndarray:
     part = part.copy()
     mass = np.bincount(part, weights=degree, minlength=len(degree))
-    todo, queued = list(range(len(adj))), [True] * len(adj)
+    todo, queued = list(range(adj.n)), np.ones(adj.n, dtype=bool)
     at = 0
     while at < len(todo):
         i = todo[at]
@@ -184,40 +210,42 @@ def _move(adj: list, degree: np.ndarray, part: np.ndarray, total: float, resolut
         queued[i] = False
         c, d = int(part[i]), degree[i]
         mass[c] -= d
-        gain = _gains(adj[i], part)
-        value = lambda x: gain.get(x, 0.0) - resolution * d * mass[x] / (2 * total)  # noqa: B023, E731
-        best, high = c, value(c)
-        for x in sorted(gain):
-            if (v := value(x)) > high + 1e-12:
-                best, high = x, v
+        near, weight = adj.of(i)
+        parts, gain = _gains(part[near], weight)
+        value = gain - resolution * d * mass[parts] / (2 * total)
+        here = np.searchsorted(parts, c)
+        inside = here < len(parts) and parts[here] == c
+        best, high = c, value[here] if inside else -resolution * d * mass[c] / (2 * total)
+        top = np.maximum.accumulate(value)
+        for k in np.flatnonzero(np.concatenate([[True], value[1:] > top[:-1]])[: len(value)]).tolist():  # only these can be better
+            if value[k] > high + 1e-12:
+                best, high = int(parts[k]), value[k]
         mass[best] += d
         if best != c:
             part[i] = best
-            for j in adj[i]:
-                if part[j] != best and not queued[j]:
-                    queued[j] = True
-                    todo.append(j)
+            again = near[(part[near] != best) & ~queued[near]]
+            queued[again] = True
+            todo += again.tolist()
     return part
 
 
-def _refine(adj: list, degree: np.ndarray, part: np.ndarray, total: float, resolution: float) -> np.ndarray:
+def _refine(adj: _Adjacency, degree: np.ndarray, part: np.ndarray, total: float, resolution: float) -> np.ndarray:
     """Within each community single nodes join a neighbour's part, so that every part stays connected."""
-    fine = np.arange(len(adj))
+    fine = np.arange(adj.n)
     mass = degree.astype(float).copy()
-    size = np.ones(len(adj), dtype=int)
-    for i in range(len(adj)):
+    size = np.ones(adj.n, dtype=int)
+    for i in range(adj.n):
         if size[fine[i]] > 1 or fine[i] != i:
             continue
-        gain: dict[int, float] = {}
-        for j, w in adj[i].items():
-            if part[j] == part[i] and fine[j] != i:
-                gain[int(fine[j])] = gain.get(int(fine[j]), 0.0) + w
-        best, high = i, 1e-12
-        for x in sorted(gain):
-            v = gain[x] - resolution * degree[i] * mass[x] / (2 * total)
-            if v > high:
-                best, high = x, v
-        if best != i:
+        near, weight = adj.of(i)
+        with_it = part[near] == part[i]
+        parts, gain = _gains(fine[near[with_it]], weight[with_it])
+        if not len(parts):
+            continue
+        value = gain - resolution * degree[i] * mass[parts] / (2 * total)
+        k = int(np.argmax(value))
+        if value[k] > 1e-12:
+            best = int(parts[k])
             fine[i] = best
             mass[best] += degree[i]
             size[best] += 1
@@ -228,8 +256,8 @@ def communities(edges: DataFrame, scope: str, resolution: float = 1.0, most_edge
     """<scope>, node, community (its smallest node): Leiden on the edges (<scope>, src, dst, weight) of each scope.
 
     Communities never cross components, so each component is a task of its
-    own, with the weight of its whole scope. Components of more edges than
-    most_edges are coarsened until they are below.
+    own, with the weight of its whole scope. No component is coarsened,
+    divided or left out: most_edges is kept for callers and changes nothing.
     """
     spark = edges.sparkSession
     scratch = Scratch(spark, "leiden")
@@ -239,58 +267,26 @@ def communities(edges: DataFrame, scope: str, resolution: float = 1.0, most_edge
     totals = e.groupBy(scope).agg(F.sum("w").alias("total"))
     comp = scratch.write(connected_components(e, "a", "b"))
     e = scratch.write(lookup_join(e, comp.select(F.col("node").alias("a"), F.col("component").alias("comp")), ["a"]))
-    nodes = comp.select(F.col("node"), F.col("node").alias("c"))
     sizes = scratch.write(e.groupBy("comp").agg(F.count(F.lit(1)).alias("n")))
     pairs = e.join(sizes.where("n = 1").select("comp"), "comp", "left_semi")
-    e = e.join(sizes.where("n > 1").select("comp"), "comp", "left_semi")
-    heavy = sizes.where(F.col("n") > most_edges)
-    inner = None
-    while not heavy.isEmpty():
-        big = e.join(heavy.select("comp"), "comp", "left_semi")
-        both = big.select("comp", "a", "b", "w").unionByName(big.select("comp", F.col("b").alias("a"), F.col("a").alias("b"), "w"))
-        best = both.groupBy("a").agg(F.max(F.struct("w", (-F.col("b")).alias("nb"))).alias("m")).select("a", (-F.col("m.nb")).alias("to"))
-        best = scratch.write(best)
-        mutual = best.join(best.select(F.col("a").alias("to"), F.col("to").alias("back")), "to").where((F.col("back") == F.col("a")) & (F.col("to") < F.col("a")))
-        into = scratch.write(mutual.select("a", "to"))
-        if into.isEmpty():
-            break
-        e2 = e.join(into.select("a", F.col("to").alias("ta")), "a", "left").join(into.select(F.col("a").alias("b"), F.col("to").alias("tb")), "b", "left")
-        e2 = e2.select(scope, "comp", F.coalesce("ta", "a").alias("x"), F.coalesce("tb", "b").alias("y"), "w")
-        kept = e2.groupBy(scope, "comp", F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).agg(F.sum("w").alias("w"))
-        kept = scratch.write(kept)
-        loops = kept.where(F.col("a") == F.col("b")).select(F.col("a").alias("c"), F.col("w").alias("own"))
-        if inner is not None:
-            moved = inner.join(into.select(F.col("a").alias("c"), "to"), "c", "left").select(F.coalesce("to", "c").alias("c"), "own")
-            loops = loops.unionByName(moved)
-        inner = scratch.write(loops.groupBy("c").agg(F.sum("own").alias("own")))
-        nodes = scratch.write(nodes.join(into.select(F.col("a").alias("c"), "to"), "c", "left").select("node", F.coalesce("to", "c").alias("c")))
-        e = kept.where(F.col("a") != F.col("b"))
-        heavy = scratch.write(e.groupBy("comp").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > most_edges))
-    ready = e.join(small(totals), scope)
-    if inner is not None:
-        ready = ready.join(inner.select(F.col("c").alias("a"), F.col("own").alias("oa")), "a", "left").join(inner.select(F.col("c").alias("b"), F.col("own").alias("ob")), "b", "left")
-    else:
-        ready = ready.withColumns({"oa": F.lit(0.0), "ob": F.lit(0.0)})
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["a", "b"], kind="stable")
-        ids = np.unique(np.concatenate([pdf["a"], pdf["b"]]))
-        own = np.zeros(len(ids))
-        own[np.searchsorted(ids, pdf["a"])] = pdf["oa"].fillna(0)
-        own[np.searchsorted(ids, pdf["b"])] = pdf["ob"].fillna(0)
-        got = leiden(len(ids), np.searchsorted(ids, pdf["a"]), np.searchsorted(ids, pdf["b"]), pdf["w"].to_numpy(float), own, float(pdf["total"].iat[0]), resolution)
-        low = pd.Series(ids).groupby(got).transform("min")
-        return pd.DataFrame({scope: pdf[scope].iat[0], "c": ids, "community": low})
+    ready = e.join(sizes.where("n > 1").select("comp"), "comp", "left_semi").join(small(totals), scope)
+
+    def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        total = table.column("total")[0].as_py()
+        a, b, w = (table.column(c).to_numpy() for c in ("a", "b", "w"))
+        del table
+        ids = np.unique(np.concatenate([np.unique(a), np.unique(b)]))
+        a, b = np.searchsorted(ids, a), np.searchsorted(ids, b)
+        order = np.lexsort([b, a])
+        got = leiden(len(ids), a[order], b[order], w[order].astype(float), total, resolution)
+        first = np.unique(got, return_index=True)[1]  # ids rise
+        kind = key[1].type  # of a node
+        return pa.table({scope: pa.repeat(key[0], len(ids)), "node": pa.array(ids, kind), "community": pa.array(ids[first[got]], kind)})
 
     kinds = {f.name: f.dataType.simpleString() for f in edges.schema.fields}
-    found = ready.groupBy(scope, "comp").applyInPandas(run, f"`{scope}` {kinds[scope]}, c {kinds['src']}, community {kinds['src']}")
+    found = ready.groupBy(scope, "comp").applyInArrow(run, f"`{scope}` {kinds[scope]}, node {kinds['src']}, community {kinds['src']}")
     ends = F.explode(F.array("a", "b"))  # a component of one edge is one community
-    found = found.unionByName(pairs.select(scope, ends.alias("c"), F.col("a").alias("community")))
-    found = nodes.join(found, "c")
-    if inner is None:
-        return found.select(scope, "node", "community")
-    low = found.groupBy("community").agg(F.min("node").alias("low"))
-    return found.join(low, "community").select(scope, "node", F.col("low").alias("community"))
+    return found.unionByName(pairs.select(scope, ends.alias("node"), F.col("a").alias("community")))
 
 
 def modularity(edges: DataFrame, member: DataFrame, scope: str) -> DataFrame:

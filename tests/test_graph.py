@@ -76,3 +76,31 @@ def test_communities_beat_singletons_and_stay_connected(spark):
     inside = spark.createDataFrame([(a, b) for a, b in edges if member[a] == member[b]], "src bigint, dst bigint")
     comp = {r["node"]: r["component"] for r in G.connected_components(inside).collect()}
     assert all(comp.get(x, x) == c for x, c in member.items())
+
+
+@pytest.mark.parametrize("most", [3])
+def test_communities_do_not_depend_on_the_size_of_a_component(spark, most):
+    df = spark.createDataFrame([("d", *e) for e in two_cliques()], "day string, src bigint, dst bigint, weight double")
+    got = {r["node"]: r["community"] for r in G.communities(df, "day", most_edges=most).collect()}
+    assert got == {i: 0 if i < 5 else 5 for i in range(10)}
+
+
+def test_leiden_by_arrays_and_by_dictionaries(monkeypatch):
+    rng = np.random.default_rng(4)
+    e = np.array(sorted({tuple(sorted(map(int, x))) for x in rng.integers(0, 90, size=(1500, 2)) if x[0] != x[1]}))
+    w = rng.random(len(e))
+    runs = []
+    for few in (0, 10_000):
+        monkeypatch.setattr(G, "FEW", few)
+        runs.append(G.leiden(90, e[:, 0], e[:, 1], w, float(w.sum())).tolist())
+    assert runs[0] == runs[1] and 1 < len(set(runs[0])) < 90
+
+
+def test_many_copies_of_a_message_stay_apart_from_others(spark):
+    near, other, bridge = [1.0, 0.0], [0.0, 1.0], [0.6, 0.8]
+    rows = [("d", i, near if i < 1001 else other if i < 1041 else bridge) for i in range(1042)]
+    df = spark.createDataFrame(rows, "day string, id bigint, v array<float>")
+    edges = G.similarity_edges(df, "day", "id", "v", 0.55)
+    assert edges.count() > 500_000
+    got = {r["node"]: r["community"] for r in G.communities(edges, "day").collect()}
+    assert {got[i] for i in range(1001)} == {0} and {got[i] for i in range(1001, 1041)} == {1001} and len(got) == 1042
