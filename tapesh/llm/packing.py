@@ -33,7 +33,7 @@ CAPACITY = 2048
 #: Room left in a container that counts as nearly full.
 SLACK = 8
 #: Items packed by one task.
-ITEMS = 200_000
+ITEMS = 10_000
 #: Partitions of a round that one of the next takes in.
 FAN_IN = 8
 
@@ -72,16 +72,14 @@ def pack(items: DataFrame, key: str, size: str, capacity: int = CAPACITY, slack:
 
     n = max(1, -(-rows.count() // items_per_task))
     schema = f"container_id string, filled bigint, held {held}"
-    dealt = loose.select("id", "part_no", "size", F.pmod(F.xxhash64("id", "part_no"), F.lit(n)).alias("_p"))
-    bins = scratch.write(dealt.repartition(n, "_p").mapInPandas(_first_round(capacity), schema), "round0")
+    bins = scratch.write(loose.repartition(n, "id", "part_no").mapInPandas(_first_round(capacity), schema), "round0")
     done = [bins.where(F.col("filled") >= capacity - slack)]
     left = bins.where(F.col("filled") < capacity - slack)
     level, before = 0, left.count()
     while n > 1 and before > 1:
         level += 1
         n = max(1, -(-n // FAN_IN), -(-before // items_per_task))
-        dealt = left.withColumn("_p", F.pmod(F.xxhash64("container_id"), F.lit(n)))
-        bins = scratch.write(dealt.repartition(n, "_p").mapInPandas(_next_round(capacity, level), schema), f"round{level}")
+        bins = scratch.write(left.repartition(n, "container_id").mapInPandas(_next_round(capacity, level), schema), f"round{level}")
         done.append(bins.where(F.col("filled") >= capacity - slack))
         left = bins.where(F.col("filled") < capacity - slack)
         now = left.count()

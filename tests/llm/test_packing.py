@@ -33,6 +33,17 @@ def test_pack(spark, per_task):
     assert len(held) <= 1.05 * total / 100 + 2
 
 
+def test_larger_tables_are_dealt(spark):
+    df = spark.range(25_000).selectExpr("id as doc_id", "1 + (id * 7919) % 1300 as size")
+    out = P.pack(df, "doc_id", "size").collect()
+    held = defaultdict(int)
+    for r in out:
+        held[r["container_id"]] += r["part_size"]
+    assert len(out) == 25_000 and max(held.values()) <= P.CAPACITY
+    assert len({c.split("-")[1] for c in held if c.startswith("0-")}) == 3
+    assert len(held) <= 1.01 * sum(held.values()) / P.CAPACITY + 1
+
+
 def test_edges(spark):
     none = spark.createDataFrame([], "doc_id bigint, size bigint")
     assert P.pack(none, "doc_id", "size").count() == 0
