@@ -89,3 +89,19 @@ def collapse(df: DataFrame, key: str, text: str) -> DataFrame:
     """keep_id, n_copies: one row a message that has copies, with the number of rows it stands for."""
     found = copies(df, key, text)
     return found.groupBy("keep_id").agg((F.count(F.lit(1)) + 1).alias("n_copies"))
+
+
+def collapsed(df: DataFrame, key: str, text: str) -> DataFrame:
+    """<key>, n_copies: every message once, with the number of messages it stands for, 1 where it has no copies.
+
+    Null and wordless texts stand for themselves. A repeated row is the same
+    message; rows without a key stay as they are.
+    """
+    scratch = Scratch(df.sparkSession, "collapsed")
+    found = scratch.write(copies(df, key, text), "found")
+    often = found.groupBy("keep_id").agg((F.count(F.lit(1)) + 1).alias("n"))
+    gone = found.select(F.col(key).alias("id")).join(often.select(F.col("keep_id").alias("id")), "id", "left_anti").distinct()
+    rows = df.select(F.col(key).alias("id"))
+    kept = rows.where(F.col("id").isNotNull()).distinct().join(gone, "id", "left_anti")
+    kept = kept.join(often.select(F.col("keep_id").alias("id"), "n"), "id", "left").unionByName(rows.where(F.col("id").isNull()).withColumn("n", F.lit(1).cast("long")))
+    return kept.select(F.col("id").alias(key), F.coalesce("n", F.lit(1).cast("long")).alias("n_copies"))

@@ -17,6 +17,11 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return copies.copies(read(spark, sf_dir, "posts"), "post_id", "txtContent")
 
 
+def p5_collapsed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every message once, with the number of its copies."""
+    return copies.collapsed(read(spark, sf_dir, "posts"), "post_id", "txtContent")
+
+
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookalike.look_alike_pairs(read(spark, sf_dir, "posts"), "post_id", "txtContent")
 
@@ -72,7 +77,7 @@ def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
-    "p1_found": p1_found, "p5_found": p5_found, "p6_found": p6_found, "p6_canonical": p6_canonical, "p7_found": p7_found, "p7_pieces": p7_pieces,
+    "p1_found": p1_found, "p5_found": p5_found, "p5_collapsed": p5_collapsed, "p6_found": p6_found, "p6_canonical": p6_canonical, "p7_found": p7_found, "p7_pieces": p7_pieces,
     "p8_ids": p8_ids, "p9_containers": p9_containers, "p10_found": p10_found, "p10_languages": p10_languages, "p10_segments": p10_segments,
 }
 ORACLES = {

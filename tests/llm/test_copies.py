@@ -56,3 +56,11 @@ def test_multisets(spark):
     assert [r[0] for r in df.select(C.same_fields(F.col("a"), F.col("b"))).collect()] == [True, False, False]
     prints = df.select(*C.fingerprint(F.col("a"))).collect(), df.select(*C.fingerprint(F.col("b"))).collect()
     assert [a == b for a, b in zip(*prints, strict=True)] == [True, False, False]
+
+
+def test_every_message_is_collapsed_once(spark):
+    df = spark.createDataFrame(TEXTS, "post_id bigint, t string")
+    got = C.collapsed(df, "post_id", "t").collect()
+    often = {a: 2 for a, _ in WANT}
+    want = [(i, often.get(i, 1)) for i in {r[0] for r in TEXTS} - {b for _, b in WANT} - {None}] + [(None, 1)]
+    assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
