@@ -20,7 +20,8 @@ from tapesh.runtime import Scratch, hot_values, lookup_join
 
 _LAYOUT = r"[\p{P}$+<=>^`|~ \t\n\r\f\x0B]+"
 _BETWEEN = r"[\n\r|;؛]+"
-_FIELD = r"^[^\p{L}\p{N}:]*([\p{L}\p{M}\x{200C}][\p{L}\p{M}\x{200B}-\x{200F}\x{2060}\x{FEFF}\x{AD}\p{Zs}'’.-]{0,40}?)\s*[:：](.*)$"
+#: A label is what stands before the first colon of a part, if it has a letter.
+_FIELD = r"(?s)^[^\p{L}\p{N}:]*+(?=[^\p{L}:：]*\p{L})([^:：]*+)[:：](.*)$"
 _LOW = 0xFFFFFFFF
 
 

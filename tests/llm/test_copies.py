@@ -64,3 +64,15 @@ def test_every_message_is_collapsed_once(spark):
     often = {a: 2 for a, _ in WANT}
     want = [(i, often.get(i, 1)) for i in {r[0] for r in TEXTS} - {b for _, b in WANT} - {None}] + [(None, 1)]
     assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
+
+
+def test_labels_of_any_length_with_digits_and_brackets(spark):
+    long = "The place where all of us will meet before the march " * 2
+    rows = [
+        (1, "Phase 2: start | Time (UTC): 17:30"), (2, "time (utc): 17:30\nphase 2: START"),
+        (3, f"{long}: here | And/or [3rd]: x"), (4, f"and/or [3rd]: X; {long}: here"),
+        (5, "2nd: a | 1: b"), (6, "1: b | 2nd: a"), (7, "17:30 | 18:30"), (8, "18:30 | 17:30"),
+        (9, ("y" * 100_000) + " | a: b"), (10, "a: b | " + ("y" * 100_000)),
+    ]
+    df = spark.createDataFrame(rows, "post_id bigint, t string")
+    assert sorted(map(tuple, C.copies(df, "post_id", "t").collect())) == [(1, 2), (3, 4)]
