@@ -32,8 +32,6 @@ from tapesh.runtime import Scratch
 
 #: JVM-side test for fields that may hold more than one name or need cleaning.
 NEEDS_PARSING = r"""[،,;؛|/•\n\r\t\[\{"'«“]|\s[-–—]\s"""
-#: Longest run of atoms that may be one name.
-MAX_RUN = 3
 ITERATIONS = 3
 
 _SEP = re.compile(r"\s*(?:[،,;؛|/•\n\r\t]|(?<=\s)[-–—](?=\s))\s*")
@@ -86,12 +84,12 @@ def parse(value: str | None) -> tuple[list[str], list[bool], list[str]]:
     return atoms, sealed, gaps
 
 
-def runs(atoms: Sequence[str], sealed: Sequence[bool], gaps: Sequence[str]) -> list[tuple[int, int, str]]:
-    """Runs of two and more unquoted atoms, as they stand: start, number, name."""
+def runs(atoms: Sequence[str], sealed: Sequence[bool], gaps: Sequence[str], longest: int) -> list[tuple[int, int, str]]:
+    """Runs of two to longest unquoted atoms, as they stand: start, number, name."""
     found = []
     for i in range(len(atoms)):
         name = atoms[i]
-        for j in range(i + 1, min(len(atoms), i + MAX_RUN)):
+        for j in range(i + 1, min(len(atoms), i + longest)):
             if sealed[i] or sealed[j] or "\n" in gaps[j - 1] or "\t" in gaps[j - 1]:
                 break
             name += gaps[j - 1] + atoms[j]
@@ -102,9 +100,10 @@ def runs(atoms: Sequence[str], sealed: Sequence[bool], gaps: Sequence[str]) -> l
 def viterbi(atoms: Sequence[str], weight: dict[str, float], total: float, joined: dict[tuple[int, int], str]) -> list[str]:
     """The likeliest way through a lattice; of two equally likely ones the finer."""
     best: list[tuple[float, int]] = [(0.0, 0)]
+    longest = max((k for _, k in joined), default=1)
     for j in range(1, len(atoms) + 1):
         ways = []
-        for k in range(1, min(MAX_RUN, j) + 1):
+        for k in range(1, min(longest, j) + 1):
             name = atoms[j - 1] if k == 1 else joined.get((j - k, k))
             if name is not None:
                 ways.append((best[j - k][0] + math.log(max(weight.get(name, 0.0), 0.5) / total), -k))
@@ -126,11 +125,27 @@ def _lattices(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 "_field": [r[1] for r in rows],
                 "atoms": [r[2][0] for r in rows],
                 "sealed": [r[2][1] for r in rows],
-                "runs": [[{"start": s, "size": n, "name": x} for s, n, x in runs(*r[2])] for r in rows],
+                "gaps": [r[2][2] for r in rows],
             }
         )
 
 
+def _lengths(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """At least as many as the atoms that each name would have without quotes."""
+    for pdf in batches:
+        yield pd.DataFrame({"n": [len(_SEP.split(x)) for x in pdf["name"]]})
+
+
+def _open_runs(longest: int):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            rows = zip(pdf["_key"], pdf["_field"], pdf["atoms"], pdf["sealed"], pdf["gaps"], strict=True)
+            found = [(key, field, *r) for key, field, *lattice in rows for r in runs(*lattice, longest)]
+            yield pd.DataFrame(found, columns=["_key", "_field", "start", "size", "name"])
+
+    return run
+
+
 def _paths(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         out = []
@@ -149,16 +164,20 @@ def split_fields(df: DataFrame, key: str, fields: Sequence[str]) -> DataFrame:
     trimmed = F.regexp_replace("_value", r"(?U)^\s+|\s+$", "")
     single = long.where(~F.col("_value").rlike(NEEDS_PARSING)).select("_key", "_field", trimmed.alias("name")).where(~F.col("name").isin("", "None"))
     key_type = df.schema[key].dataType.simpleString()
-    schema = f"_key {key_type}, _field string, atoms array<string>, sealed array<boolean>, runs array<struct<start:int,size:int,name:string>>"
+    schema = f"_key {key_type}, _field string, atoms array<string>, sealed array<boolean>, gaps array<string>"
     lattices = scratch.write(long.where(F.col("_value").rlike(NEEDS_PARSING)).mapInPandas(_lattices, schema), "lattices")
 
     # runs that the column holds whole elsewhere: quoted, or alone in a field
     whole = lattices.select("_field", F.explode(F.arrays_zip("atoms", "sealed")).alias("a")).where("a.sealed").select("_field", F.col("a.atoms").alias("name"))
-    whole = whole.where(F.col("name").rlike(r"[،,;؛|/•]|\s[-–—]\s")).groupBy("_field", "name").agg(F.count(F.lit(1)).alias("n"))
-    open_runs = lattices.select("_key", "_field", F.explode("runs").alias("r")).select("_key", "_field", "r.start", "r.size", "r.name")
-    known = open_runs.join(whole.select("_field", "name"), ["_field", "name"])
-    known = scratch.write(known, "known")
-    if known.isEmpty():
+    whole = whole.where(F.col("name").rlike(r"[،,;؛|/•]|\s[-–—]\s")).select("_field", "name").distinct()
+    whole = scratch.write(whole, "whole")
+    longest = whole.mapInPandas(_lengths, "n int").agg(F.max("n")).first()[0] or 1
+    known = None
+    if longest > 1:
+        schema = f"_key {key_type}, _field string, start int, size int, name string"
+        open_runs = lattices.where(F.size("atoms") > 1).mapInPandas(_open_runs(longest), schema)
+        known = scratch.write(open_runs.join(whole, ["_field", "name"]), "known")
+    if known is None or known.isEmpty():
         paths = lattices.select("_key", "_field", "atoms")
     else:
         paths = _learn(scratch, lattices, single, known)

@@ -185,3 +185,13 @@ def test_zone_rules_agree_with_zoneinfo(spark):
         rows.append((at.strftime("%Y-%m-%d %H:%M"), z := rng.choice(zones), int(at.replace(tzinfo=ZoneInfo(z)).timestamp()) * 10**6))
     df = spark.createDataFrame(rows, "t string, z string, want bigint")
     assert T.to_utc_micros(df, "t", "z", None).where("utc_us <> want or utc_us is null").count() == 0
+
+
+def test_a_name_of_many_atoms_is_kept_whole(spark):
+    name = "Hall 3/B, Gate 4, North - East, Block 7"
+    rows = [(i, f'"{name}"، X') for i in range(50)] + [(300, f"{name}، X"), (301, f"X, {name}")]
+    df = spark.createDataFrame(rows, "id int, loc string")
+    got = {}
+    for r in S.split_fields(df, "id", ["loc"]).orderBy("id", "pos").collect():
+        got.setdefault(r["id"], []).append(r["entity"])
+    assert got[0] == got[300] == [name, "X"] and got[301] == ["X", name]
