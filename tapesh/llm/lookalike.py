@@ -1,9 +1,9 @@
-"""Visually identical text brought to one form, by a weighted edit automaton over a vocabulary trie.
+"""Visually identical text brought to one form, by a table of look-alikes and a vocabulary trie.
 
-A token descends the trie of the vocabulary with an automaton that lets it
-replace a look-alike, drop or skip an invisible character, and take joined
-forms apart, all at no cost; any other edit costs 1, and the budget is 0
-unless given. Of the words reached the most frequent spelling is the
+The table replaces look-alikes, drops invisible characters and takes joined
+forms apart. What it makes of a token descends the trie of the vocabulary,
+whose words went through the same table; an edit costs 1, and the budget is 0
+unless given, so that the trie picks the spelling and does no matching. Of the words reached the most frequent spelling is the
 canonical one. A token that reaches no word is normalised by the table.
 Both depend on the token's look alone, so two tokens that look the same come
 out the same, whatever the vocabulary; its size (a parameter) is a matter of
