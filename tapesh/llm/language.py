@@ -6,48 +6,58 @@ a sample of labelled texts. A part too far from every centroid is rejected;
 the others have a confidence, from the distances to the languages. Parts are
 sentences, cut further where the script changes for as long as a sentence.
 
-Links, tags, addresses and numbers are no words. A part of fewer than
-MIN_WORDS words makes no language of its own and follows its neighbour, so
-single names do not count; a document without any longer part is taken as
-one part.
-
-Defined cases: null, empty and wordless texts have no language and no parts;
-no length is too long; repeated rows give repeated results. The sample is
-bounded by SAMPLES, the texts of smallest id of each language.
+Links, tags, addresses and numbers are no words. A sentence has LONG words,
+or fewer of which TELLING occur in the samples of few languages; a part that
+is none makes no language of its own and follows its neighbour, so single
+names do not count. A document without any such part is taken as one part.
+
+Grams are hashed to BUCKETS places, so that the model has a bound whatever
+the sample. Whole Arrow batches are scored at once, by array operations; a
+worker remembers the vectors of words.
+
+Defined cases: null, empty and wordless texts have no parts, and one row in
+languages() with a null language and confidence 0; no text, sentence or word
+is too long; repeated rows give repeated results. The sample is bounded by
+SAMPLES texts a language, none above LONGEST characters.
 """
 
 from __future__ import annotations
 
 import re
-from collections import Counter
-from collections.abc import Iterator
+import zlib
+from collections.abc import Iterator, Sequence
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tapesh.runtime import spread
 
-SAMPLES = 2000
+#: Labelled texts a language that fit() reads, documents a language that widen() reads, and their longest.
+SAMPLES, WIDENED, LONGEST = 2000, 200, 2000
 CENTROIDS = 8
-MIN_WORDS = 6
+#: Words that make a sentence, and telling words that make a shorter one.
+LONG, TELLING = 6, 4
 #: Cosine to the nearest centroid below which a part is rejected, and sharpness of the confidence.
 REJECT, SHARPNESS = 0.15, 0.03
 #: Confidence from which on a part makes a language of its own.
 SURE = 0.7
-HASHED = 1 << 14
-#: Labelled documents a language that widen() reads, and texts above which a gram has to occur twice.
-WIDENED, FEW = 200, 600
+#: Places of hashed grams. The table of centroids has at most so many rows of 4 bytes a centroid: 100 MB for six languages.
+BUCKETS = 1 << 19
 #: Weight of grams that all languages have, and of grams that no sample has.
 FLOOR, UNSEEN = 0.05, 0.3
-
-_NOISE = re.compile(r"(?:https?://|www\.)\S+|\b[\w.+-]+@[\w-]+\.[\w.]+|[@#]\S+|\S*\d\S*", re.I)
-_NOISY = re.compile(r"[@#\d]|://|www\.", re.I)
-_ARABIC, _LATIN = re.compile("[\u0600-\u06ff]"), re.compile("[A-Za-z\u00c0-\u024f]")
-_WORD = re.compile(r"[^\W\d_]+(?:[’'‌][^\W\d_]+)*")
-_SENTENCE = re.compile(r"[^.!?؟…。\r\n|*—/]*(?:[.!?؟…。]+[\"'»”’)\]]*(?=\s|$)|[\r\n|*]+|\s[—/]\s|$|[.!?؟…。—/])", re.S)
-_FOLD = str.maketrans("يىكةأإآؤئ", "ییکهااایی", "ًٌٍَُِّْـ​‌‍‎‏⁠﻿­")
+#: Words and grams that a worker remembers, and grams that are scored at once.
+REMEMBERED, HELD, AT_ONCE, SLICE = 200_000, 16_000_000, 4_000_000, 100_000
+
+_FOLDED, _DROPPED = "يىكةأإآؤئ", "ًٌٍَُِّْـ​‌‍‎‏⁠﻿\xad"
+_FOLD = str.maketrans(_FOLDED, "ییکهااایی", _DROPPED)
+#: What makes the run of characters around it no word: links and addresses, digits, and tags from their mark on.
+_NOISY = re.compile(r"[@#\d]|://|[wW]{3}\.")
+_BLANK = re.compile(r"\s")
+_LETTER = rf"[^\W\d_{_DROPPED}]"
+_WORD = re.compile(rf"{_LETTER}+(?:[’'{_DROPPED}]+{_LETTER}+)*")
+_BOUNDARY = re.compile(r"[.!?؟…。\r\n|*—/]+[\"'»”’)\]]*\s*")
 
 # Ways to write the six languages.
 NAMES = {
@@ -71,17 +81,103 @@ def label_language(label: Column) -> Column:
     return F.coalesce(code, F.when(low.isNull() | low.isin(*PLACEHOLDERS), "").otherwise(low))
 
 
+def folded(word: str) -> str:
+    return word.translate(_FOLD).lower()
+
+
+def masked(text: str) -> str:
+    """The text with blanks in place of links, tags, addresses and numbers, places unchanged."""
+    out, at = [], 0
+    found = _NOISY.search(text)
+    while found:
+        start = found.start()
+        if text[start] != "#":
+            while start > at and not text[start - 1].isspace():
+                start -= 1
+        blank = _BLANK.search(text, found.end())
+        end = blank.start() if blank else len(text)
+        out += text[at:start], " " * (end - start)
+        at = end
+        found = _NOISY.search(text, at)
+    return "".join(out) + text[at:] if out else text
+
+
 def words_of(text: str) -> list[str]:
-    if _NOISY.search(text):
-        text = _NOISE.sub(" ", text)
-    return _WORD.findall(text.translate(_FOLD).lower())
+    return _WORD.findall(masked(text))
+
+
+def sentences(text: str) -> list[tuple[int, int]]:
+    """Spans that cover a masked text."""
+    ends = []
+    for m in _BOUNDARY.finditer(text):
+        a, b = m.span()
+        if text[a] not in "—/" or (a and text[a - 1].isspace() and text[b - 1].isspace()):
+            ends.append(b)
+    if not ends or ends[-1] < len(text):
+        ends.append(len(text))
+    return list(zip([0, *ends], ends))
 
 
-def _grams(word: str) -> list[str]:
-    if len(word) > 40:
-        word = word[:20] + word[-20:]
+def grams_of(word: str) -> np.ndarray:
+    """Places of the word itself and of its n-grams."""
     w = f" {word} "
-    return [w] + [w[i : i + n] for n in (2, 3, 4) for i in range(len(w) - n + 1)]
+    size = len(w)
+    runs = [(i, i + n) for n in (2, 3, 4) for i in range(size - n + 1)] if size <= 1000 else ((i, i + n) for n in (2, 3, 4) for i in range(size - n + 1))
+    rest = 3 * size - 6 if size >= 4 else len(runs)
+    found = np.empty(rest + 1, np.int32)
+    found[0] = _place(w)
+    found[1:] = np.fromiter((_place(w[a:b]) for a, b in runs), np.int32, rest)
+    return found
+
+
+def _place(gram: str) -> int:
+    return zlib.crc32(gram.encode("utf-8", "surrogatepass")) % BUCKETS
+
+
+def _room(held: np.ndarray, size: int) -> np.ndarray:
+    """The array, longer if it has fewer places than size."""
+    return held if size <= len(held) else np.concatenate([held, np.zeros(2 * size - len(held), held.dtype)])
+
+
+class Words:
+    """What a worker remembers of words: their grams, and what scoring made of them."""
+
+    def __init__(self) -> None:
+        self.forget()
+
+    def forget(self) -> None:
+        self.ids: dict[str, int] = {}
+        self.grams = np.empty(1 << 12, np.int32)
+        self.starts = np.zeros(1 << 10, np.int64)
+
+    @property
+    def held(self) -> int:
+        """Grams held."""
+        return int(self.starts[len(self.ids)])
+
+    def look_up(self, words: Sequence[str]) -> list[int]:
+        """The numbers of the words; new ones are added."""
+        known = self.ids
+        try:
+            return [known[w] for w in words]
+        except KeyError:
+            pass
+        for w in dict.fromkeys(words):
+            if w not in known:
+                found, start, n = grams_of(folded(w)), self.held, len(known)
+                end = start + len(found)
+                self.grams = _room(self.grams, end)
+                self.starts = _room(self.starts, n + 2)
+                self.grams[start:end] = found
+                self.starts[n + 1] = end
+                known[w] = n
+        return [known[w] for w in words]
+
+    def expand(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The grams of these words one after another, and the number of grams of each."""
+        starts = self.starts[at]
+        n = self.starts[at + 1] - starts
+        return self.grams[np.repeat(starts - np.cumsum(n) + n, n) + np.arange(n.sum())], n
 
 
 class Centroids:
@@ -89,95 +185,199 @@ class Centroids:
 
     def __init__(self, texts: list[str], langs: list[str], samples: list[tuple[str, str]] = (), k: int = CENTROIDS, rounds: int = 12):
         self.samples = list(samples)
-        bags = [Counter(g for w in words_of(t) for g in _grams(w)) for t in texts]
-        df = Counter(g for b in bags for g in b)
-        least = 2 if len(bags) > FEW else 1
-        self.index = {g: i for i, g in enumerate(sorted(g for g in df if df[g] >= least))}
-        v, n = len(self.index), len(bags)
-        self.idf = np.full(v + HASHED, UNSEEN * np.log(1 + n), dtype=np.float32)
-        # a gram of many languages (of place names, say) tells little, whatever its frequency
-        spread = Counter(g for _, g in {(lang, g) for lang, b in zip(langs, bags, strict=True) for g in b})
-        many = len(set(langs))
-        for g, i in self.index.items():
-            self.idf[i] = np.log((1 + n) / (1 + df[g])) * (np.log(many / spread[g]) / np.log(max(many, 2)) + FLOOR)
-        x = np.zeros((n, v), dtype=np.float32)
-        for r, b in enumerate(bags):
-            for g, c in b.items():
-                if (i := self.index.get(g)) is not None:
-                    x[r, i] = c * self.idf[i]
-        x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
         self.langs = sorted(set(langs))
-        rows, owner = [], []
-        for j, lang in enumerate(self.langs):
-            own = x[[i for i, one in enumerate(langs) if one == lang]]
-            c = _k_means(own, min(k, len(own)), rounds)
-            rows.append(c)
-            owner += [j] * len(c)
-        self.owner = np.array(owner)
-        self.table = (np.concatenate(rows) * self.idf[:v]).T.copy() if rows else np.zeros((v, 0), np.float32)
-        self.known: dict[str, tuple[np.ndarray, np.ndarray]] = {}
+        owner_of = np.array([self.langs.index(x) for x in langs], dtype=np.int64)
+        rows, counts, words = [], [], Words()
+        for t in texts:
+            found, _ = words.expand(np.array(words.look_up(words_of(t)), dtype=np.int64))
+            grams, often = np.unique(found, return_counts=True)
+            rows.append(grams)
+            counts.append(often)
+            if len(words.ids) > REMEMBERED or words.held > HELD:
+                words.forget()
+        n = len(rows)
+        sizes = np.array([len(r) for r in rows], dtype=np.int64)
+        at = np.concatenate(rows) if n else np.zeros(0, np.int32)
+        df = np.bincount(at, minlength=BUCKETS)
+        # a gram of many languages (of place names, say) tells little, whatever its frequency
+        spread = np.zeros(BUCKETS, np.int64)
+        row_of = np.repeat(np.arange(n), sizes)
+        for j in range(len(self.langs)):
+            spread[np.unique(at[owner_of[row_of] == j])] += 1
+        many = len(self.langs)
+        self.idf = np.full(BUCKETS, UNSEEN * np.log(1 + n), dtype=np.float32)
+        seen = np.flatnonzero(df)
+        self.idf[seen] = np.log((1 + n) / (1 + df[seen])) * (np.log(many / spread[seen]) / np.log(max(many, 2)) + FLOOR)
+        self.telling = (spread > 0) & (spread <= max(1, many // 3))
+        # rows of seen grams only, and one of zeros for all others
+        self.row = np.full(BUCKETS, len(seen), np.int32)
+        self.row[seen] = np.arange(len(seen))
+        values = np.concatenate(counts).astype(np.float32) * self.idf[at] if n else np.zeros(0, np.float32)
+        x = _Sparse(self.row[at], values, sizes, len(seen))
+        tables, owner = [], []
+        for j in range(many):
+            mine = np.flatnonzero(owner_of == j)
+            tables.append(_k_means(x.take(mine), min(k, len(mine)), rounds))
+            owner += [j] * len(tables[-1])
+        self.owner = np.array(owner, dtype=np.int64)
+        table = np.concatenate(tables).T * self.idf[seen][:, None] if many else np.zeros((0, 0))
+        self.table = np.concatenate([table, np.zeros((1, table.shape[1]))]).astype(np.float32)
+        self._start()
+
+    def _start(self) -> None:
+        self.words = Words()
+        self.vectors = np.empty((0, len(self.owner)), np.float32)
+        self.is_telling = np.empty(0, bool)
+        self.is_arabic = np.empty(0, bool)
 
     def __getstate__(self) -> dict:
-        return self.__dict__ | {"known": {}, "samples": []}
-
-    def _word(self, word: str) -> tuple[np.ndarray, np.ndarray]:
-        v = len(self.index)
-        ids = np.array([i if (i := self.index.get(g)) is not None else v + _stable(g) for g in _grams(word)], dtype=np.int64)
-        found = ids, self.table[ids[ids < v]].sum(axis=0)
-        if len(self.known) < 200_000:
-            self.known[word] = found
-        return found
-
-    def scores(self, words: list[str]) -> np.ndarray:
-        """Cosine to the nearest centroid of each language."""
-        parts = [self.known.get(w) or self._word(w) for w in words]
-        ids, counts = np.unique(np.concatenate([p[0] for p in parts]), return_counts=True)
-        norm = np.sqrt(np.square(counts * self.idf[ids]).sum())
-        dots = sum(p[1] for p in parts) / max(norm, 1e-9)
-        out = np.full(len(self.langs), -1.0)
-        np.maximum.at(out, self.owner, dots)
-        return out
+        return {k: v for k, v in self.__dict__.items() if k not in ("words", "vectors", "is_telling", "is_arabic")} | {"samples": []}
+
+    def __setstate__(self, state: dict) -> None:
+        self.__dict__.update(state)
+        self._start()
+
+    def knows(self, word: str) -> bool:
+        """Whether a sample has the word."""
+        return bool(self.row[grams_of(folded(word))[0]] < len(self.table) - 1)
+
+    def look_up(self, words: list[str]) -> np.ndarray:
+        """Numbers of words, whose vectors are at hand then."""
+        at = np.array(self.words.look_up(words), dtype=np.int64)
+        old, new = len(self.is_telling), len(self.words.ids)
+        if new > old:
+            if new > len(self.vectors):
+                self.vectors = np.concatenate([self.vectors, np.empty((2 * new - len(self.vectors), len(self.owner)), np.float32)])
+            starts = self.words.starts
+            first = starts[old:new]
+            a = old
+            while a < new:  # so many grams at once, for the memory it takes
+                b = max(a + 1, int(np.searchsorted(starts[: new + 1], starts[a] + SLICE, side="right")) - 1)
+                if starts[b] - starts[a] <= SLICE:
+                    rows = self.table[self.row[self.words.grams[starts[a] : starts[b]]]]
+                    self.vectors[a:b] = np.add.reduceat(rows, starts[a:b] - starts[a], axis=0)
+                else:
+                    self.vectors[a] = sum(self.table[self.row[self.words.grams[x : min(x + SLICE, starts[b])]]].sum(axis=0) for x in range(starts[a], starts[b], SLICE))
+                a = b
+            self.is_telling = np.concatenate([self.is_telling, self.telling[self.words.grams[first]]])
+            named = list(self.words.ids)[old:]
+            self.is_arabic = np.concatenate([self.is_arabic, np.array([_is_arabic(w) for w in named], dtype=bool)])
+        return at
+
+    def make_room(self) -> None:
+        if len(self.words.ids) > REMEMBERED or self.words.held > HELD:
+            self._start()
+
+    def best(self, at: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The language (-1: none is near) and the confidence of parts, given the words of all and how many each has, at least one."""
+        lang, sure = np.full(len(sizes), -1), np.zeros(len(sizes))
+        if not self.langs or not len(sizes):
+            return lang, sure
+        ends = np.cumsum(sizes)
+        weight = np.cumsum(self.words.starts[at + 1] - self.words.starts[at])[ends - 1]
+        dots, norms = np.zeros((len(sizes), len(self.owner)), np.float32), np.zeros(len(sizes))
+        a = 0
+        while a < len(sizes):
+            b = max(a + 1, int(np.searchsorted(weight, (weight[a - 1] if a else 0) + AT_ONCE, side="right")))
+            some = at[ends[a] - sizes[a] : ends[b - 1]]
+            if len(some) and weight[b - 1] - (weight[a - 1] if a else 0) <= AT_ONCE:
+                dots[a:b] = np.add.reduceat(self.vectors[some], np.cumsum(sizes[a:b]) - sizes[a:b], axis=0)
+                norms[a:b] = self._norms(some, sizes[a:b])
+            else:  # one part, longer than what is worked on at once
+                often = np.zeros(BUCKETS)
+                for x in range(0, len(some), SLICE):
+                    dots[a] += self.vectors[some[x : x + SLICE]].sum(axis=0)
+                    often += np.bincount(self.words.expand(some[x : x + SLICE])[0], minlength=BUCKETS)
+                norms[a] = np.linalg.norm(often * self.idf)
+            a = b
+        cosines = dots / np.maximum(norms, 1e-9)[:, None]
+        scores = np.stack([cosines[:, self.owner == j].max(axis=1) for j in range(len(self.langs))], axis=1).astype(np.float64)
+        top = scores.max(axis=1)
+        near = top >= REJECT
+        lang[:] = np.where(near, scores.argmax(axis=1), -1)
+        sure[:] = np.where(near, 1 / np.exp((scores - top[:, None]) / SHARPNESS).sum(axis=1), 0.0)
+        return lang, sure
+
+    def _norms(self, at: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """Lengths of the vectors of parts."""
+        grams, n = self.words.expand(at)
+        keys = np.repeat(np.repeat(np.arange(len(sizes)), sizes), n) * BUCKETS + grams
+        keys.sort()
+        first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+        often = np.diff(np.concatenate([first, [len(keys)]]))
+        keys = keys[first]
+        return np.sqrt(np.bincount(keys // BUCKETS, np.square(often * self.idf[keys % BUCKETS]), minlength=len(sizes)))
 
     def classify(self, words: list[str]) -> tuple[str | None, float]:
         """Language and confidence; none if no centroid is near."""
-        if not words or not self.langs:
-            return None, 0.0
-        s = self.scores(words)
-        best = int(s.argmax())
-        if s[best] < REJECT:
+        if not words:
             return None, 0.0
-        e = np.exp((s - s[best]) / SHARPNESS)
-        return self.langs[best], float(1 / e.sum())
+        lang, sure = self.best(self.look_up(words), np.array([len(words)]))
+        return (self.langs[lang[0]], float(sure[0])) if lang[0] >= 0 else (None, 0.0)
+
+
+class _Sparse:
+    """Rows of unit length, by columns and values one after another."""
+
+    def __init__(self, at: np.ndarray, values: np.ndarray, sizes: np.ndarray, width: int):
+        self.at, self.sizes, self.width = at, sizes, width
+        self.row = np.repeat(np.arange(len(sizes)), sizes)
+        norm = np.sqrt(np.bincount(self.row, np.square(values), minlength=len(sizes)))
+        self.values = (values / np.maximum(norm, 1e-9)[self.row]).astype(np.float32)
 
+    def take(self, rows: np.ndarray) -> _Sparse:
+        some = np.isin(self.row, rows)
+        return _Sparse(self.at[some], self.values[some], self.sizes[rows], self.width)
 
-def _stable(gram: str) -> int:
-    h = 2166136261
-    for b in gram.encode("utf-8", "surrogatepass"):
-        h = (h ^ b) * 16777619 & 0xFFFFFFFF
-    return h % HASHED
+    def dense(self, row: int) -> np.ndarray:
+        out = np.zeros(self.width, np.float32)
+        out[self.at[self.row == row]] = self.values[self.row == row]
+        return out
+
+    def mean(self, rows: np.ndarray) -> np.ndarray:
+        some = rows[self.row]
+        return np.bincount(self.at[some], self.values[some], minlength=self.width) / max(1, rows.sum())
 
+    def dot(self, one: np.ndarray) -> np.ndarray:
+        return np.bincount(self.row, self.values * one[self.at], minlength=len(self.sizes))
 
-def _k_means(x: np.ndarray, k: int, rounds: int) -> np.ndarray:
+
+def _k_means(x: _Sparse, k: int, rounds: int) -> np.ndarray:
     """Spherical k-means from evenly spaced rows; no chance in it."""
-    c = x[np.linspace(0, len(x) - 1, k).astype(int)].copy()
+    c = np.stack([x.dense(r) for r in np.linspace(0, len(x.sizes) - 1, k).astype(int)])
     for _ in range(rounds):
-        at = (x @ c.T).argmax(axis=1)
+        at = np.stack([x.dot(one) for one in c]).argmax(axis=0)
         for j in range(k):
             if (at == j).any():
-                c[j] = x[at == j].mean(axis=0)
+                c[j] = x.mean(at == j)
         c /= np.maximum(np.linalg.norm(c, axis=1, keepdims=True), 1e-9)
     return c
 
 
-def fit(samples: DataFrame, key: str, text: str, lang: str, most: int = SAMPLES) -> Centroids:
-    """Centroids of at most so many samples a language."""
-    w = Window.partitionBy(lang).orderBy(key)
-    rows = samples.where(F.col(text).isNotNull() & F.col(lang).isNotNull()).withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= most)
-    found = [(r[0], r[1]) for r in rows.orderBy(lang, key).select(text, lang).collect()]
+def _sample(df: DataFrame, key: str, text: str, lang: Column, most: int, longest: int, among: Sequence[str] | None = None) -> list[tuple[str, str]]:
+    """Texts and languages, at most most a language: those of smallest hash of the key, thinned before they reach the driver."""
+    rows = df.select(F.col(key).alias("k"), F.col(text).alias("t"), lang.alias("l")).where(F.col("l").isNotNull() & F.length("t").between(1, longest))
+    if among is not None:
+        rows = rows.where(F.col("l").isin(*among))
+    parts = F.lit(1 << 30)
+    hashed = F.pmod(F.xxhash64(F.col("k"), F.lit(7)), parts)
+    # by hash, some four times what is taken: the expected number a language, whatever the table's size
+    kept = F.lit(False)
+    for one, n in rows.groupBy("l").agg(F.count(F.lit(1))).collect():  # one row a language
+        kept = kept | ((F.col("l") == one) & (hashed < F.lit(min(1 << 30, (1 << 30) * 4 * most // n))))
+    found: dict[str, list] = {}
+    for h, k, t, one in rows.where(kept).select(hashed, "k", "t", "l").collect():
+        found.setdefault(one, []).append((h, k, t))
+    return [(t, one) for one in sorted(found) for _, _, t in sorted(found[one], key=lambda x: (x[0], str(x[1]), x[2]))[:most]]
+
+
+def fit(samples: DataFrame, key: str, text: str, lang: str, most: int = SAMPLES, longest: int = LONGEST) -> Centroids:
+    """Centroids of at most so many samples a language, none above longest characters."""
+    found = _sample(samples, key, text, F.col(lang), most, longest)
     return Centroids([t for t, _ in found], [x for _, x in found], found)
 
 
-def widen(model: Centroids, df: DataFrame, key: str, text: str, label: str, most: int = WIDENED, longest: int = 2000) -> Centroids:
+def widen(model: Centroids, df: DataFrame, key: str, text: str, label: str, most: int = WIDENED, longest: int = LONGEST) -> Centroids:
     """The model fitted again with sentences of labelled documents beside its samples.
 
     Of each label a sample by hash of the key, at most most documents and none
@@ -185,23 +385,23 @@ def widen(model: Centroids, df: DataFrame, key: str, text: str, label: str, most
     whose label the first model confirms. The sample only trains the model:
     every document is classified.
     """
-    rows = df.select(F.col(key).alias("k"), F.col(text).alias("t"), label_language(F.col(label)).alias("l"))
-    rows = rows.where(F.col("l").isin(*model.langs) & (F.length("t") <= longest) & (F.length("t") >= 20))
-    picked = None
-    counts = dict(tuple(r) for r in rows.groupBy("l").agg(F.count(F.lit(1))).collect())
-    for lang in model.langs:
-        # rows are thinned by hash to a few times what is picked, so that tasks send the driver that and no more
-        thin = max(1, counts.get(lang, 0) // (8 * most))
-        top = rows.where((F.col("l") == lang) & (F.pmod(F.xxhash64("k", F.lit(7)), F.lit(thin)) == 0)).orderBy(F.xxhash64("k"), "k").limit(most)
-        picked = top if picked is None else picked.unionByName(top)
-    texts, langs = [t for t, _ in model.samples], [x for _, x in model.samples]
-    if picked is None:
+    if not model.langs:
         return model
-    for _, t, lang in sorted(tuple(r) for r in picked.collect()):
-        mine = [t[m.start() : m.end()] for m in _SENTENCE.finditer(t) if m.end() > m.start()]
-        mine = [x for x in mine if len(words := words_of(x)) >= MIN_WORDS and model.classify(words)[0] == lang]
-        texts += mine[:1] + mine[-1:] if len(mine) > 1 else mine
-        langs += [lang] * min(2, len(mine))
+    texts, langs = [t for t, _ in model.samples], [x for _, x in model.samples]
+    asked = []
+    for i, (t, lang) in enumerate(_sample(df, key, text, label_language(F.col(label)), most, longest, model.langs)):
+        clean = masked(t)
+        asked += [(i, lang, clean[a:b], words) for a, b in sentences(clean) if len(words := _WORD.findall(clean, a, b)) >= LONG]
+    at = model.look_up([w for *_, words in asked for w in words])
+    found, _ = model.best(at, np.array([len(words) for *_, words in asked], dtype=np.int64))
+    confirmed: dict[int, list] = {}
+    for (i, lang, t, _), j in zip(asked, found.tolist(), strict=True):
+        if j >= 0 and model.langs[j] == lang:
+            confirmed.setdefault(i, []).append((t, lang))
+    for mine in confirmed.values():
+        for t, lang in mine[:1] + mine[-1:] if len(mine) > 1 else mine:
+            texts.append(t)
+            langs.append(lang)
     return Centroids(texts, langs, model.samples)
 
 
@@ -209,84 +409,158 @@ def _is_arabic(word: str) -> bool:
     return "؀" <= word[0] <= "ۿ" or "ﭐ" <= word[0] <= "﻿"
 
 
-def _by_script(text: str, start: int, end: int) -> Iterator[tuple[int, int]]:
-    """A sentence, cut where the script changes between runs of at least MIN_WORDS words."""
-    if not (_ARABIC.search(text, start, end) and _LATIN.search(text, start, end)):
-        yield start, end
-        return
-    clean = _NOISE.sub(lambda m: " " * len(m.group()), text[start:end])
-    words = [(m.start() + start, _is_arabic(m.group())) for m in _WORD.finditer(clean)]
-    runs: list[list] = []
-    for at, script in words:
-        if runs and runs[-1][1] == script:
-            runs[-1][2] += 1
-        else:
-            runs.append([at, script, 1])
-    kept: list[list] = []
-    for run in runs:
-        if run[2] < MIN_WORDS or (kept and kept[-1][1] == run[1]):
-            if kept:
-                kept[-1][2] += run[2]
-            elif run[2] >= MIN_WORDS or not kept:
-                continue
+def _is_sentence(model: Centroids, at: np.ndarray) -> bool:
+    return len(at) >= LONG or (len(at) >= TELLING and int(model.is_telling[at].sum()) >= TELLING)
+
+
+def _by_script(clean: str, start: int, end: int, at: np.ndarray, model: Centroids) -> list[tuple[int, int, np.ndarray]]:
+    """A sentence of two scripts, cut where the script changes between runs as long as a sentence: start, end, words."""
+    arabic = model.is_arabic[at]
+    edges = np.flatnonzero(arabic[1:] != arabic[:-1]) + 1
+    runs = [(a, b) for a, b in zip([0, *edges], [*edges, len(at)], strict=True)]
+    cuts: list[int] = []
+    script = None
+    for a, b in runs:
+        if _is_sentence(model, at[a:b]) and arabic[a] != script:
+            if script is not None:
+                cuts.append(a)
+            script = arabic[a]
+    if not cuts:
+        return [(start, end, at)]
+    places = [m.start() for m in _WORD.finditer(clean, start, end)]
+    borders = [start, *[places[c] for c in cuts], end]
+    return list(zip(borders[:-1], borders[1:], np.split(at, cuts), strict=True))
+
+
+def parts_of_all(texts: Sequence[str | None], model: Centroids) -> list[list[tuple]]:
+    """Parts that cover each text, neighbours of one language put together: start, end, lang, confidence, words."""
+    model.make_room()
+    spans: list[tuple[int, int, int]] = []  # text, start, end
+    words: list[str] = []
+    sizes: list[int] = []
+    clean: list[str | None] = []
+    for i, t in enumerate(texts):
+        shown = masked(t) if t else None
+        clean.append(shown)
+        if t:
+            for a, b in sentences(shown):
+                own = _WORD.findall(shown, a, b)
+                spans.append((i, a, b))
+                sizes.append(len(own))
+                words += own
+    at = model.look_up(words)
+    n = np.array(sizes, dtype=np.int64)
+    first = np.cumsum(n) - n
+    arabic = np.concatenate([[0], np.cumsum(model.is_arabic[at])])[np.concatenate([first, [len(at)]])] if len(n) else np.zeros(1)
+    of_arabic = np.diff(arabic)
+    mixed = np.flatnonzero((of_arabic > 0) & (of_arabic < n))
+    if len(mixed):
+        cut = {int(k): _by_script(clean[spans[k][0]], spans[k][1], spans[k][2], at[first[k] : first[k] + n[k]], model) for k in mixed}
+        spans = [(i, x, y) for k, (i, a, b) in enumerate(spans) for x, y in ([c[:2] for c in cut[k]] if k in cut else [(a, b)])]
+        n = np.array([m for k, size in enumerate(sizes) for m in ([len(c[2]) for c in cut[k]] if k in cut else [size])], dtype=np.int64)
+        first = np.cumsum(n) - n
+    told = np.diff(np.concatenate([[0], np.cumsum(model.is_telling[at])])[np.concatenate([first, [len(at)]])]) if len(n) else np.zeros(0)
+    asked = (n >= LONG) | ((n >= TELLING) & (told >= TELLING))
+    lang, sure = np.full(len(n), -1), np.zeros(len(n))
+    if asked.any():
+        lang[asked], sure[asked] = model.best(at[np.repeat(asked, n)], n[asked])
+    lang[sure < SURE] = -1
+    sure[lang < 0] = 0.0
+
+    # texts without a part of some language are taken as a whole
+    text_of = np.array([s[0] for s in spans], dtype=np.int64)
+    has = np.zeros(len(texts), bool)
+    has[text_of[lang >= 0]] = True
+    in_text = np.bincount(text_of, n, minlength=len(texts)).astype(np.int64) if len(n) else np.zeros(len(texts), np.int64)
+    whole = ~has & (in_text > 0)
+    whole_lang, whole_sure = np.full(len(texts), -1), np.zeros(len(texts))
+    if whole.any():
+        whole_lang[whole], whole_sure[whole] = model.best(at[np.repeat(whole[text_of], n)], in_text[whole])
+
+    out: list[list[tuple]] = [[] for _ in texts]
+    for i in np.flatnonzero(whole_lang >= 0).tolist():
+        out[i] = [(0, len(texts[i]), model.langs[whole_lang[i]], round(float(whole_sure[i]), 4), int(in_text[i]))]
+    open_parts: list = []  # start, end, lang, sum of confidence by words, words, words of the sum
+    before = -1
+
+    def close() -> None:
+        out[before] = [(a, b, model.langs[k], round(s / m, 4), c) for a, b, k, s, c, m in open_parts]
+
+    for (i, a, b), k, s, m, kept in zip(spans, lang.tolist(), sure.tolist(), n.tolist(), has[text_of].tolist() if len(n) else (), strict=True):
+        if not kept:
+            continue
+        if i != before:
+            if before >= 0:
+                close()
+            open_parts, before = [], i
+        if open_parts and (k < 0 or open_parts[-1][2] in (-1, k)):
+            last = open_parts[-1]
+            last[1] = b
+            last[4] += m
+            if k >= 0:
+                last[2], last[3], last[5] = k, last[3] + s * m, last[5] + m
         else:
-            kept.append(list(run))
-    cuts = [start] + [r[0] for r in kept[1:]] + [end]
-    yield from zip(cuts, cuts[1:])
+            open_parts.append([a, b, k, s * m, m, m if k >= 0 else 0])
+    if before >= 0:
+        close()
+    return out
 
 
 def parts_of(text: str, model: Centroids) -> list[dict]:
-    """Parts that cover the text, neighbours of one language put together: start, end, lang, confidence, words."""
-    found = []
-    for m in _SENTENCE.finditer(text):
-        if m.end() == m.start():
-            continue
-        for a, b in _by_script(text, m.start(), m.end()):
-            words = words_of(text[a:b])
-            lang, sure = model.classify(words) if len(words) >= MIN_WORDS else (None, 0.0)
-            found.append([a, b, lang if sure >= SURE else None, sure, len(words)])
-    if not any(p[2] for p in found):
-        words = words_of(text)
-        lang, sure = model.classify(words)
-        return [{"start": 0, "end": len(text), "lang": lang, "confidence": round(sure, 4), "words": len(words)}] if lang else []
-    out: list[list] = []
-    for a, b, lang, sure, n in found:
-        if out and (lang is None or out[-1][2] in (None, lang)):
-            last = out[-1]
-            total = last[5] + (n if lang else 0)
-            last[3] = (last[3] * last[5] + sure * n) / total if lang else last[3]
-            last[1], last[2], last[4], last[5] = b, last[2] or lang, last[4] + n, total
-        else:
-            out.append([a, b, lang, sure if lang else 0.0, n, n if lang else 0])
-    return [{"start": a, "end": b, "lang": lang, "confidence": round(sure, 4), "words": n} for a, b, lang, sure, n, _ in out]
+    """Parts of one text."""
+    return [dict(zip(("start", "end", "lang", "confidence", "words"), p, strict=True)) for p in parts_of_all([text], model)[0]]
 
 
 PARTS = "array<struct<start:int,end:int,lang:string,confidence:double,words:int>>"
+_PART = pa.struct([("start", pa.int32()), ("end", pa.int32()), ("lang", pa.string()), ("confidence", pa.float64()), ("words", pa.int32())])
+#: Characters of the texts that are worked on at once.
+CHARACTERS = 2_000_000
+
+
+def _as_arrow(found: list[list[tuple]]) -> pa.Array:
+    flat = [p for parts in found for p in parts]
+    columns = list(zip(*flat, strict=True)) if flat else [()] * 5
+    inner = pa.StructArray.from_arrays([pa.array(c, type=f.type) for c, f in zip(columns, _PART, strict=True)], fields=list(_PART))
+    return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, found)]), type=pa.int32()), inner)
 
 
 def with_parts(df: DataFrame, text: str, model: Centroids, out: str = "parts") -> DataFrame:
     """df with out, the parts of text."""
     shared = df.sparkSession.sparkContext.broadcast(model)  # bounded by the sample
 
-    @F.pandas_udf(PARTS)
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model = shared.value
-        for s in batches:
-            yield pd.Series([[] if t is None else parts_of(t, model) for t in s], dtype=object)
-
-    return spread(df).withColumn(out, run(text))
+        for batch in batches:
+            found: list[list[tuple]] = []
+            some: list[str | None] = []
+            held = 0
+            for t in batch.to_pylist():
+                some.append(t)
+                held += len(t or "")
+                if held > CHARACTERS:
+                    found += parts_of_all(some, model)
+                    some, held = [], 0
+            yield _as_arrow(found + parts_of_all(some, model))
+
+    # not deterministic, else a filter on the parts is pushed down, and works them out twice
+    parts = F.arrow_udf(run, PARTS).asNondeterministic()
+    return spread(df).withColumn(out, parts(text))
 
 
 def languages(df: DataFrame, key: str, text: str, label: str, model: Centroids) -> DataFrame:
-    """<key>, lang, confidence, words, is_wrong, n_langs: each language of each text, whether the label is missing or wrong, and how many languages there are."""
+    """<key>, lang, confidence, words, is_wrong, n_langs: each language of each text, whether the label is missing or wrong, and how many languages there are.
+
+    A text without a language has one row: lang null, confidence 0, words 0,
+    is_wrong false, n_langs 0.
+    """
     rows = with_parts(df.select(F.col(key), F.col(text).alias("_t"), label_language(F.col(label)).alias("_l")), "_t", model, "_p")
     langs = F.array_sort(F.array_distinct(F.transform("_p", lambda p: p["lang"])))
     rows = rows.select(key, "_l", "_p", langs.alias("_langs"))
     total = lambda lang, of: F.aggregate(F.filter("_p", lambda p: p["lang"] == lang), F.lit(0.0), lambda s, p: s + of(p))
-    each = rows.select(key, "_l", "_p", "_langs", F.explode("_langs").alias("lang"))
+    each = rows.select(key, "_l", "_p", "_langs", F.explode_outer("_langs").alias("lang"))
     words = total(F.col("lang"), lambda p: p["words"].cast("double"))
     sure = total(F.col("lang"), lambda p: p["words"] * p["confidence"])
     return each.select(
-        key, "lang", F.round(sure / F.greatest(words, F.lit(1.0)), 4).alias("confidence"), words.cast("long").alias("words"),
-        (~F.array_contains("_langs", F.col("_l"))).alias("is_wrong"), F.size("_langs").alias("n_langs"),
+        key, "lang", F.coalesce(F.round(sure / F.greatest(words, F.lit(1.0)), 4), F.lit(0.0)).alias("confidence"), words.cast("long").alias("words"),
+        (F.col("lang").isNotNull() & ~F.array_contains("_langs", F.col("_l"))).alias("is_wrong"), F.size("_langs").alias("n_langs"),
     )

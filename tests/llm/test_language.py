@@ -52,15 +52,37 @@ def test_languages(spark, model):
     out = L.languages(df, "doc_id", "text", "lang", model)
     assert sorted((r["doc_id"], r["lang"]) for r in out.where("is_wrong or n_langs > 1").collect()) == [(2, "en"), (2, "en"), (3, "en"), (4, "de"), (4, "en")]
     assert out.where("doc_id = 8").count() == 1
+    assert sorted((r["doc_id"], r["lang"], r["confidence"], r["n_langs"]) for r in out.where("lang is null").collect()) == [(5, None, 0.0, 0), (6, None, 0.0, 0), (7, None, 0.0, 0)]
     assert L.languages(df.limit(0), "doc_id", "text", "lang", model).count() == 0
 
 
+def test_no_length_counts(model):
+    """No word, sentence or text is cut."""
+    word = "a" * 41
+    assert len(L.grams_of(word)) == 3 * 43 - 5 and len(L.grams_of("b" * 2000)) == 3 * 2002 - 5
+    assert L.parts_of("z" * 300_000 + ". " + EN[0], model)[0]["words"] == 12
+    long = " ".join(EN * 20_000)
+    assert langs(long, model) == ["en"]
+
+
+def test_batches_score_like_single_parts(model):
+    texts = [" ".join(x) for x in (EN[:1], DE[:2], FA[:3], EN[1:3] + DE[1:3])]
+    alone = [L.parts_of(t + ".", model) for t in texts]
+    together = [[p[2:4] for p in parts] for parts in L.parts_of_all([t + "." for t in texts], model)]
+    assert [[(p["lang"], p["confidence"]) for p in parts] for parts in alone] == together
+
+
+def test_short_sentences(model):
+    assert langs("شورای شهر گفت که پل قدیمی بسته است. The market is closed.", model) == ["fa", "en"]
+    assert langs("شورای شهر گفت که پل قدیمی بسته است. Silvholm le Haut Ova.", model) == ["fa"]
+
+
 def test_fit_and_widen(spark):
     samples = spark.createDataFrame([(i, t, x) for i, (t, x) in enumerate(zip(EN + DE + FA, ["en"] * 4 + ["de"] * 4 + ["fa"] * 4, strict=True))], "i bigint, t string, l string")
     docs = spark.createDataFrame([(1, EN[1] + " and the harbour is quiet.", "EN"), (2, DE[1] + ".", "en"), (3, None, "fa")], "d bigint, t string, l string")
     first = L.fit(samples, "i", "t", "l")
     wide = L.widen(first, docs, "d", "t", "l")
-    assert " harbour " in wide.index and " harbour " not in first.index
+    assert wide.knows("harbour") and not first.knows("harbour")
     assert wide.classify(L.words_of(DE[2]))[0] == "de"
     none = L.fit(samples.limit(0), "i", "t", "l")
     assert L.parts_of("some words of any language at all", none) == []
