@@ -377,32 +377,43 @@ def fit(samples: DataFrame, key: str, text: str, lang: str, most: int = SAMPLES,
     return Centroids([t for t, _ in found], [x for _, x in found], found)
 
 
-def widen(model: Centroids, df: DataFrame, key: str, text: str, label: str, most: int = WIDENED, longest: int = LONGEST) -> Centroids:
+def widen(model: Centroids, df: DataFrame, key: str, text: str, label: str, most: int = WIDENED, longest: int = LONGEST, rounds: int = 2) -> Centroids:
     """The model fitted again with sentences of labelled documents beside its samples.
 
     Of each label a sample by hash of the key, at most most documents and none
-    above longest characters, gives up to two sentences each; those count
-    whose label the first model confirms. The sample only trains the model:
-    every document is classified.
+    above longest characters, gives up to two sentences each. Those documents
+    count of which the model finds a sentence of the label's language and none
+    of another; sentences that no centroid is near come first, for what they
+    add. The next round starts from what the one before found. The sample only
+    trains the model: every document is classified.
     """
     if not model.langs:
         return model
-    texts, langs = [t for t, _ in model.samples], [x for _, x in model.samples]
     asked = []
     for i, (t, lang) in enumerate(_sample(df, key, text, label_language(F.col(label)), most, longest, model.langs)):
         clean = masked(t)
         asked += [(i, lang, clean[a:b], words) for a, b in sentences(clean) if len(words := _WORD.findall(clean, a, b)) >= LONG]
-    at = model.look_up([w for *_, words in asked for w in words])
-    found, _ = model.best(at, np.array([len(words) for *_, words in asked], dtype=np.int64))
-    confirmed: dict[int, list] = {}
-    for (i, lang, t, _), j in zip(asked, found.tolist(), strict=True):
-        if j >= 0 and model.langs[j] == lang:
-            confirmed.setdefault(i, []).append((t, lang))
-    for mine in confirmed.values():
-        for t, lang in mine[:1] + mine[-1:] if len(mine) > 1 else mine:
-            texts.append(t)
-            langs.append(lang)
-    return Centroids(texts, langs, model.samples)
+    for _ in range(rounds):
+        at = model.look_up([w for *_, words in asked for w in words])
+        found, sure = model.best(at, np.array([len(words) for *_, words in asked], dtype=np.int64))
+        confirmed: dict[int, list] = {}
+        far: dict[int, list] = {}
+        other = set()
+        for (i, lang, t, _), j, c in zip(asked, found.tolist(), sure.tolist(), strict=True):
+            if j < 0:
+                far.setdefault(i, []).append((t, lang))
+            elif model.langs[j] == lang:
+                confirmed.setdefault(i, []).append((t, lang))
+            elif c >= SURE:
+                other.add(i)
+        texts, langs = [t for t, _ in model.samples], [x for _, x in model.samples]
+        for i, mine in confirmed.items():
+            if i not in other:
+                for t, lang in (far.get(i, []) + mine[:1] + mine[1:][-1:])[:2]:
+                    texts.append(t)
+                    langs.append(lang)
+        model = Centroids(texts, langs, model.samples)
+    return model
 
 
 def _is_arabic(word: str) -> bool:
