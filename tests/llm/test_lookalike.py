@@ -68,3 +68,47 @@ def test_random_disguises_are_undone():
         word = "".join(rng.choice("abcdefghijklmnopqrstuvwxyzABCXYی۱") for _ in range(rng.randrange(1, 12)))
         other = "".join(rng.choice(back.get(c, [c])) + rng.choice(["", "", "\u200b", "\u2060"]) for c in word)
         assert canonical(word) == canonical(other)
+
+
+def test_the_table_of_confusables(spark):
+    table = L.confusables(spark)
+    for a, b in zip("αρυᎪ", "apuA", strict=True):
+        assert L.units_of(a, table) == L.units_of(b, table), (a, b)
+    assert L.units_of("κ", table) == L.units_of("к", table)
+    assert table.items() >= L.LOOK_ALIKES.items()
+    for same in ("σο", "ıi", "Il", "O0", "aA"):
+        assert L.units_of(same[0], table) != L.units_of(same[1], table)
+    for a, b in (("𝐀", "A"), ("ⅼ", "l"), ("Ⅷ", "VIII"), ("ɡ", "g")):
+        assert L.units_of(a) == b
+
+
+def test_every_word_is_in_the_vocabulary(spark):
+    """Spellings come from the whole column, dealt to many shards, broadcast or joined."""
+    rows = [(i, f"w{i}ي كتاب{i}") for i in range(300)] + [(300 + i, f"w{i}ی\xa0 کتاب{i}") for i in range(300)] + [(600 + i, f"w{i}ي {'ي' * 101}") for i in range(5)] + [(700, None), (701, "")]
+    df = spark.createDataFrame(rows, "i int, t string")
+    one = {r["i"]: r["c"] for r in L.canonical_text(df, "t", "c").collect()}
+    assert one == {r["i"]: r["c"] for r in L.canonical_text(df, "t", "c", words_per_task=20).collect()}
+    assert one == {r["i"]: r["c"] for r in L.canonical_text(df, "t", "c", most=0, words_per_task=20).collect()}
+    assert one[0] == one[300].replace("  ", " ") and one[300].startswith("w0ي") and one[700] is None and one[701] == ""
+    assert one[600] == f"w0ي {'ي' * 101}"
+
+
+def test_the_trie_finds_what_the_table_would_not():
+    """The spelling comes from the walk: without the word the table decides."""
+    with_word, without = L.canonizer([("علي", 3)]), L.canonizer([])
+    assert with_word("عل\u200bی") == "علي" and without("عل\u200bی") == "علی"
+
+
+def test_long_tokens_and_shared_beginnings():
+    words = ["a" * 200_000, "ab" * 5_000, "ab" * 5_000 + "c", "ab", "abc", "a"]
+    trie = L.Trie([(w, 1) for w in words], L.Look())
+    for w in words:
+        assert trie.find(w.replace("a", "\u0430")) == w
+    assert trie.find("ab" * 4_000) is None
+
+
+def test_classes(spark):
+    df = spark.createDataFrame([(i, "abc" if i % 2 else "\u0430bc") for i in range(60)] + [(100, "xyz"), (101, "xyz")], "post_id bigint, t string")
+    members = L.look_classes(df, "post_id", "t").collect()
+    assert {(r["class_id"], r["n"]) for r in members} == {(0, 60)} and len(members) == 60
+    assert L.look_alike_pairs(df, "post_id", "t").count() == 900
