@@ -4,11 +4,13 @@ A text becomes a multiset of normalised (label, value) fields, a text that is
 not written as fields a single one. Each field is hashed and the hashes are
 combined by sums, which do not depend on order; texts are grouped by that
 fingerprint, and every member is verified against the group's smallest id by
-comparing the multisets of fields, without sorting. A member that fails (a
-hash collision) is grouped again by its fields themselves.
+comparing the multisets of fields, without sorting: by hash sets where no
+field repeats, else by the counts of the fields. Members that fail (a hash
+collision) go through the same again with other hashes.
 
 Defined cases: null texts and texts without letters or digits are no copies;
-a repeated row is no copy of itself; no length is too long.
+a repeated row is no copy of itself; where an id repeats with other texts,
+each of them counts; no length and no number of fields is too long.
 """
 
 from __future__ import annotations
@@ -56,9 +58,21 @@ def fingerprint(fields: Column) -> list[Column]:
 
 
 def same_fields(a: Column, b: Column) -> Column:
-    """Whether two arrays hold the same elements equally often."""
-    often = lambda x, of: F.size(F.filter(of, lambda y: y == x))
-    return (F.size(a) == F.size(b)) & F.forall(a, lambda x: often(x, a) == often(x, b))
+    """Whether two arrays hold the same elements, null if that takes counts: an element repeats in both."""
+    repeats = lambda x: F.size(F.array_distinct(x)) < F.size(x)
+    return (
+        F.when(F.size(a) != F.size(b), False)
+        .when(repeats(a) & repeats(b), F.when(F.size(F.array_distinct(a)) != F.size(F.array_distinct(b)), False))
+        .when(repeats(a) | repeats(b), False)
+        .otherwise(F.size(F.array_except(a, b)) == 0)
+    )
+
+
+def same_counts(pairs: DataFrame, by: list[str], a: str, b: str) -> DataFrame:
+    """by, same: whether the arrays a and b hold the same elements equally often."""
+    each = lambda c, n: pairs.select(*by, F.explode(c).alias("_x"), F.lit(n).alias("_n"))
+    counts = each(a, 1).unionByName(each(b, -1)).groupBy(*by, "_x").agg(F.sum("_n").alias("_n"))
+    return counts.groupBy(*by).agg((F.max(F.abs("_n")) == 0).alias("same"))
 
 
 def copies(df: DataFrame, key: str, text: str, scratch: Scratch | None = None) -> DataFrame:
@@ -66,24 +80,42 @@ def copies(df: DataFrame, key: str, text: str, scratch: Scratch | None = None) -
     scratch = scratch or Scratch(df.sparkSession, "copies")
     rows = df.select(F.col(key).alias("id"), F.col(text).alias("t")).where(F.col("id").isNotNull() & F.col("t").rlike(r"[\p{L}\p{N}]"))
     prints = scratch.write(rows.select("id", fields_of(F.col("t")).alias("f")).select("id", *fingerprint(F.col("f"))), "prints")
+    sets, members = _members(scratch, prints)
+    # only rows of sets of copies have their texts moved; a text goes by its id and its fingerprint
+    texts = rows.join(members.select("id").distinct(), "id", "left_semi").select("id", fields_of(F.col("t")).alias("f"))
+    texts = scratch.write(texts.select("*", *fingerprint(F.col("f"))).dropDuplicates(["id", "f1", "f2"]), "texts")
+    good, failed = _verified(scratch, sets, members, texts)
+    found, level = good, 0
+    while not failed.isEmpty():
+        level += 1
+        other = failed.join(texts, ["id", "f1", "f2"]).select("id", "f", *fingerprint(F.transform("f", lambda x: F.concat(F.lit(f"{level}\x04"), x))))
+        other = scratch.write(other, "other")
+        sets, members = _members(scratch, other.select("id", "f1", "f2"))
+        good, failed = _verified(scratch, sets, members, other)
+        found, texts = found.unionByName(good), other
+    return found.distinct().select("keep_id", F.col("id").alias(key))
+
+
+def _members(scratch: Scratch, prints: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Sets of more than one id with one fingerprint, and their members."""
     sets = prints.groupBy("f1", "f2").agg(F.min("id").alias("keep_id"), F.max("id").alias("last"), F.count(F.lit(1)).alias("n"))
     sets = scratch.write(sets.where(F.col("keep_id") < F.col("last")).drop("last"), "sets")
     members = lookup_join(prints, sets.select("f1", "f2", "keep_id"), ["f1", "f2"], hot_values(sets, "f1", "n"), F.col("id"))
-    members = scratch.write(members.select("id", "keep_id"), "members")
-    # members holds the kept ids too; only rows of sets of copies have their texts moved
-    texts = rows.join(members.select("id").distinct(), "id", "left_semi").dropDuplicates(["id"])
-    texts = scratch.write(texts.select("id", fields_of(F.col("t")).alias("f")), "texts")
-    pairs = members.where(F.col("id") != F.col("keep_id")).distinct().join(texts, "id")
-    kept = texts.join(sets.select(F.col("keep_id").alias("id")), "id", "left_semi").select(F.col("id").alias("keep_id"), F.col("f").alias("g"))
-    pairs = lookup_join(pairs, kept, ["keep_id"], hot_values(sets, "keep_id", "n"), F.col("id"))
-    checked = scratch.write(pairs.select("id", "keep_id", same_fields(F.col("f"), F.col("g")).alias("same")), "checked")
-    good = checked.where("same").select("keep_id", "id")
-    if not checked.where(~F.col("same")).isEmpty():
-        other = checked.where(~F.col("same")).join(texts, "id").withColumn("whole", F.array_join(F.array_sort("f"), "\x03"))
-        firsts = other.groupBy("keep_id", "whole").agg(F.min("id").alias("first"))
-        other = other.join(firsts, ["keep_id", "whole"]).where(F.col("id") != F.col("first"))
-        good = good.unionByName(other.select(F.col("first").alias("keep_id"), "id"))
-    return good.select("keep_id", F.col("id").alias(key))
+    return sets, scratch.write(members.select("id", "keep_id", "f1", "f2"), "members")
+
+
+def _verified(scratch: Scratch, sets: DataFrame, members: DataFrame, texts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """keep_id, id of members with the fields of the kept text, and id, f1, f2 of the others."""
+    on = ["id", "f1", "f2"]
+    pairs = members.where(F.col("id") != F.col("keep_id")).distinct().join(texts, on)
+    kept = texts.join(sets.select(F.col("keep_id").alias("id"), "f1", "f2"), on, "left_semi").select(F.col("id").alias("keep_id"), "f1", "f2", F.col("f").alias("g"))
+    pairs = lookup_join(pairs, kept, ["keep_id", "f1", "f2"], hot_values(sets, "keep_id", "n"), F.col("id"))
+    same = same_fields(F.col("f"), F.col("g"))
+    checked = scratch.write(pairs.select("keep_id", *on, same.alias("same"), F.when(same.isNull(), F.col("f")).alias("f"), F.when(same.isNull(), F.col("g")).alias("g")), "checked")
+    counted = same_counts(checked.where(F.col("same").isNull()), ["keep_id", *on], "f", "g")
+    all_checked = checked.where(F.col("same").isNotNull()).select("keep_id", *on, "same").unionByName(counted)
+    all_checked = scratch.write(all_checked, "verified")
+    return all_checked.where("same").select("keep_id", "id"), all_checked.where(~F.col("same")).select(*on)
 
 
 def collapse(df: DataFrame, key: str, text: str) -> DataFrame:

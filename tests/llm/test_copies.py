@@ -1,3 +1,5 @@
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -52,10 +54,26 @@ def test_colliding_fingerprints_are_told_apart(spark, monkeypatch):
 
 
 def test_multisets(spark):
-    df = spark.createDataFrame([(["a", "b", "b"], ["b", "a", "b"]), (["a", "a", "b"], ["a", "b", "b"]), (["a"], ["a", "a"])], "a array<string>, b array<string>")
-    assert [r[0] for r in df.select(C.same_fields(F.col("a"), F.col("b"))).collect()] == [True, False, False]
-    prints = df.select(*C.fingerprint(F.col("a"))).collect(), df.select(*C.fingerprint(F.col("b"))).collect()
-    assert [a == b for a, b in zip(*prints, strict=True)] == [True, False, False]
+    rows = [(1, ["a", "b", "b"], ["b", "a", "b"]), (2, ["a", "a", "b"], ["a", "b", "b"]), (3, ["a"], ["a", "a"]), (4, ["a", "b"], ["b", "a"]), (5, ["a", "b"], ["c", "a"])]
+    df = spark.createDataFrame(rows, "i int, a array<string>, b array<string>")
+    assert [r[0] for r in df.orderBy("i").select(C.same_fields(F.col("a"), F.col("b"))).collect()] == [None, None, False, True, False]
+    assert {r["i"]: r["same"] for r in C.same_counts(df, ["i"], "a", "b").collect()} == {1: True, 2: False, 3: False, 4: True, 5: False}
+    prints = df.orderBy("i").select(*C.fingerprint(F.col("a"))).collect(), df.orderBy("i").select(*C.fingerprint(F.col("b"))).collect()
+    assert [a == b for a, b in zip(*prints, strict=True)] == [True, False, False, True, False]
+
+
+def test_many_fields_are_compared_in_linear_time(spark):
+    fields = [f"k{i}: v{i}" for i in range(100_000)]
+    rows = [(1, "\n".join(fields)), (2, "\n".join(reversed(fields))), (3, "\n".join(fields[:-1]) + "\nk: v"), (4, "; ".join(fields + fields)), (5, "; ".join(fields[::-1] * 2))]
+    df = spark.createDataFrame(rows, "post_id bigint, t string")
+    start = time.time()
+    assert sorted(map(tuple, C.copies(df, "post_id", "t").collect())) == [(1, 2), (4, 5)]
+    assert time.time() - start < 40
+
+
+def test_an_id_with_several_texts(spark):
+    df = spark.createDataFrame([(1, "a b"), (1, "c d"), (2, "A. B"), (3, "C, D"), (3, "e")], "post_id bigint, t string")
+    assert sorted(map(tuple, C.copies(df, "post_id", "t").collect())) == [(1, 2), (1, 3)]
 
 
 def test_every_message_is_collapsed_once(spark):
