@@ -3,12 +3,16 @@
 Each partition packs its items best-fit, largest first, and emits the
 containers that are nearly full. The underfull ones go on as items to a
 round with fewer partitions, are packed best-fit again, whole, and so on up
-the tree, until a round has one partition or frees nearly nothing. An item
-above the capacity is divided into full parts and a rest; no other is.
-
-Any two underfull containers of a partition exceed the capacity together
-except for one, so a round keeps few containers per partition, and the tree
-is needed for those alone. Items are dealt to partitions by a hash and sorted
+the tree, until a round has one partition or nothing fits anywhere. Between
+rounds containers that have no room for the smallest that is left are
+emitted too. An item above the capacity is divided into full parts and a
+rest; no other is.
+
+Any two underfull containers of a partition exceed the capacity together, so
+at most one of a partition is no more than half full, and a round frees at
+most one container a partition. Where so many are left that one task can't
+hold them, they are dealt anew each round, and the tree ends with the first
+round that frees none. Items are dealt to partitions by a hash and sorted
 within, so a lost task packs the same way again.
 
 Defined cases: an item of size 0 takes no room and lies in the first
@@ -73,19 +77,27 @@ def pack(items: DataFrame, key: str, size: str, capacity: int = CAPACITY, slack:
     n = max(1, -(-rows.count() // items_per_task))
     schema = f"container_id string, filled bigint, held {held}"
     bins = scratch.write(loose.repartition(n, "id", "part_no").mapInPandas(_first_round(capacity), schema), "round0")
-    done = [bins.where(F.col("filled") >= capacity - slack)]
-    left = bins.where(F.col("filled") < capacity - slack)
-    level, before = 0, left.count()
+    done: list[DataFrame] = []
+
+    def parted(bins: DataFrame) -> tuple[DataFrame, int]:
+        """Containers that are left for the next round and their number; the others are done."""
+        smallest = bins.where(F.col("filled") < capacity - slack).agg(F.min("filled")).first()[0]
+        open_ = (F.col("filled") < capacity - slack) & (F.col("filled") + F.lit(smallest) <= capacity)
+        done.append(bins.where(~open_) if smallest is not None else bins)
+        left = bins.where(open_ if smallest is not None else F.lit(False))
+        return left, left.count() if smallest is not None else 0
+
+    left, before = parted(bins)
+    level = 0
     while n > 1 and before > 1:
         level += 1
         n = max(1, -(-n // FAN_IN), -(-before // items_per_task))
-        bins = scratch.write(left.repartition(n, "container_id").mapInPandas(_next_round(capacity, level), schema), f"round{level}")
-        done.append(bins.where(F.col("filled") >= capacity - slack))
-        left = bins.where(F.col("filled") < capacity - slack)
-        now = left.count()
-        if now > 0.99 * before:
+        dealt = left.repartition(n, "container_id", F.lit(level))
+        bins = scratch.write(dealt.mapInPandas(_next_round(capacity, level), schema), f"round{level}")
+        packed_before = before
+        left, before = parted(bins)
+        if n > 1 and bins.count() == packed_before:
             break
-        before = now
     packed = left
     for d in done:
         packed = packed.unionByName(d)

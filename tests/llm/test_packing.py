@@ -44,6 +44,24 @@ def test_larger_tables_are_dealt(spark):
     assert len(held) <= 1.01 * sum(held.values()) / P.CAPACITY + 1
 
 
+def test_the_tree_goes_on_to_one_task(spark):
+    """Every partition of the first round leaves one container half full; they all meet."""
+    df = spark.range(4_000).selectExpr("id as doc_id", "if(id % 40 = 0, 3, 10) as size")
+    out = P.pack(df, "doc_id", "size", capacity=100, slack=0, items_per_task=50).collect()
+    held = defaultdict(int)
+    for r in out:
+        held[r["container_id"]] += r["part_size"]
+    total = sum(held.values())
+    assert len(out) == 4_000 and max(held.values()) <= 100 and len(held) <= 1.02 * total / 100 + 1
+    assert {c.split("-")[0] for c in held} >= {"0", "1", "2"}
+
+
+def test_what_fits_nowhere_ends_the_tree(spark):
+    df = spark.range(1_000).selectExpr("id as doc_id", "60 as size")
+    out = P.pack(df, "doc_id", "size", capacity=100, slack=1, items_per_task=50).collect()
+    assert len({r["container_id"] for r in out}) == 1_000
+
+
 def test_edges(spark):
     none = spark.createDataFrame([], "doc_id bigint, size bigint")
     assert P.pack(none, "doc_id", "size").count() == 0
