@@ -9,7 +9,9 @@ the end of the one before, from a word boundary on where there is one.
 
 Defined cases: null gives no piece, a text within the limit (the empty one
 too) one piece; a run without any boundary is cut at the limit, but not
-before a combining mark or joiner. Lengths are code points.
+before a combining mark or joiner, unless the whole piece would be one
+character and its marks. Lengths are code points. The time a text takes
+grows as its length.
 """
 
 from __future__ import annotations
@@ -30,7 +32,7 @@ BLOCK = 3
 #: A piece holds at least this part of what it may, if a boundary allows it.
 FILL = 0.5
 
-_SENTENCE = re.compile(r".+?(?:[.!?؟…。！？]+[\"'»”’)\]]*(?=\s|$)\s*|[\r\n]+\s*|$)", re.S)
+_SENTENCE = re.compile(r".+?(?:(?<![.!?؟…。！？])[.!?؟…。！？]++[\"'»”’)\]]*+(?=\s|$)\s*|[\r\n]+\s*|$)", re.S)
 _CLAUSE = re.compile(r".+?(?:[،,;؛:—–]\s*|$)", re.S)
 _WORD = re.compile(r"\S*\s*", re.S)
 _TOKEN = re.compile(r"\w[\w‌]*")
@@ -55,8 +57,9 @@ def units(text: str, most: int) -> list[tuple[int, int]]:
         else:
             while end - start > most:
                 at = start + most
-                while at > start + 1 and at > start + most - 16 and _glued(text, at):
+                while at > start + 1 and _glued(text, at):
                     at -= 1
+                at = at if at > start + 1 else start + most
                 yield start, at
                 start = at
             yield start, end
@@ -77,26 +80,44 @@ def units(text: str, most: int) -> list[tuple[int, int]]:
 def depths(text: str, spans: list[tuple[int, int]], block: int = BLOCK) -> list[float]:
     """Depth of the similarity valley at the gap after each span but the last."""
     bags = [Counter(_TOKEN.findall(text[a:b].lower())) for a, b in spans]
+    n = len(bags) - 1
+    if n < 1:
+        return []
+    # the blocks on both sides of a gap move along; their dot product and lengths are kept up to date
+    left, right = Counter(bags[0]), Counter()
+    for bag in bags[1 : 1 + block]:
+        right.update(bag)
+    dot = sum(k * right[w] for w, k in left.items())
+    of_left, of_right = sum(k * k for k in left.values()), sum(k * k for k in right.values())
     sims = []
-    for i in range(1, len(bags)):
-        left: Counter = sum(bags[max(0, i - block) : i], Counter())
-        right: Counter = sum(bags[i : i + block], Counter())
-        norm = math.sqrt(sum(v * v for v in left.values()) * sum(v * v for v in right.values()))
-        sims.append(sum(n * right[w] for w, n in left.items()) / norm if norm else 0.0)
-    out = []
-    for i, s in enumerate(sims):
-        peak = s
-        for x in sims[i + 1 :]:
-            if x < peak:
-                break
-            peak = x
-        before = s
-        for x in reversed(sims[:i]):
-            if x < before:
-                break
-            before = x
-        out.append((peak - s) + (before - s))
-    return out
+    for i in range(1, n + 1):
+        sims.append(dot / math.sqrt(of_left * of_right) if of_left and of_right else 0.0)
+        moves = [(bags[i], 1, -1)]
+        if i >= block:
+            moves.append((bags[i - block], -1, 0))
+        if i + block <= n:
+            moves.append((bags[i + block], 0, 1))
+        for bag, l, r in moves:
+            for w, k in bag.items():
+                x, y = left[w], right[w]
+                a, b = x + l * k, y + r * k
+                dot += a * b - x * y
+                of_left += a * a - x * x
+                of_right += b * b - y * y
+                for side, at in ((left, a), (right, b)):
+                    if at:
+                        side[w] = at
+                    else:
+                        del side[w]
+    # the peak on each side: where the similarity stops rising
+    after, before = sims[:], sims[:]
+    for i in range(n - 2, -1, -1):
+        if sims[i + 1] >= sims[i]:
+            after[i] = after[i + 1]
+    for i in range(1, n):
+        if sims[i - 1] >= sims[i]:
+            before[i] = before[i - 1]
+    return [(after[i] - s) + (before[i] - s) for i, s in enumerate(sims)]
 
 
 def pieces(text: str, limit: int = LIMIT, overlap: int = OVERLAP) -> list[tuple[int, int, int]]:

@@ -1,4 +1,7 @@
+import math
 import random
+import time
+from collections import Counter
 
 import pytest
 
@@ -50,6 +53,49 @@ def test_very_long_text_is_quick():
     assert len(check("سلام دنیا. " * 20_000)) > 250
 
 
+def plain_depths(text, spans, block):
+    """By definition: blocks summed anew at every gap, peaks found by walking."""
+    bags = [Counter(C._TOKEN.findall(text[a:b].lower())) for a, b in spans]
+    sims = []
+    for i in range(1, len(bags)):
+        left, right = sum(bags[max(0, i - block) : i], Counter()), sum(bags[i : i + block], Counter())
+        norm = math.sqrt(sum(v * v for v in left.values()) * sum(v * v for v in right.values()))
+        sims.append(sum(n * right[w] for w, n in left.items()) / norm if norm else 0.0)
+    out = []
+    for i, s in enumerate(sims):
+        peaks = []
+        for side in (sims[i + 1 :], sims[:i][::-1]):
+            top = s
+            for x in side:
+                if x < top:
+                    break
+                top = x
+            peaks.append(top)
+        out.append(sum(peaks) - 2 * s)
+    return out
+
+
+def test_depths_are_those_of_the_definition():
+    rng = random.Random(4)
+    for _ in range(60):
+        text = ". ".join(" ".join(rng.choice(["cat", "dog", "sun", "tax", "law", "sea", ""]) for _ in range(rng.randrange(0, 9))) for _ in range(rng.randrange(1, 40)))
+        spans = C.units(text, 60)
+        for block in (1, 3):
+            assert C.depths(text, spans, block) == pytest.approx(plain_depths(text, spans, block))
+
+
+@pytest.mark.parametrize("text", ["".join(f"w{i} goes to x{i}. " for i in range(300_000)), "." * 1_000_000 + "x", "x" * 5_000_000, "e" + "\u0301" * 1_000_000, "a b; " * 400_000])
+def test_time_grows_as_the_length(text):
+    start = time.time()
+    check(text)
+    assert time.time() - start < 40
+
+
+def test_marks_stay_with_their_letter_however_many():
+    for a, b, n in check("z" * 700 + ("q" + "\u0301" * 30) * 40)[:-1]:
+        assert b == len("z" * 700) or (b - 700) % 31 == 0
+
+
 def test_split_texts(spark):
     df = spark.createDataFrame([(1, "short", 5), (2, "word. " * 400, 5), (3, None, 5), (4, "", 5), (2, "word. " * 400, 5)], "post_id bigint, t string, piece int")
     rows = C.split_texts(df, "post_id", "t").collect()
