@@ -55,6 +55,8 @@ _JOINER = "\u200d"
 _INVISIBLE = "\u034f\u115f\u1160\u17b4\u17b5\u180b\u180c\u180d\u180f\u3164\uffa0"
 _FORMS = ("<wide>", "<narrow>", "<isolated>", "<initial>", "<medial>", "<final>", "<font>")
 _BLANK = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+#: The same characters for the JVM.
+_JVM_BLANK = r"\s\x1c-\x1f\x85\p{Z}"
 _BLANKS = re.compile(f"([{_BLANK}]+)")
 #: Blanks that look like a plain one.
 _SPACES = "".join(ch for ch in _BLANK if unicodedata.category(ch) == "Zs" and ch != " ")
@@ -279,7 +281,7 @@ def canonizer(words: Sequence[tuple[str, int]], table: dict[str, str] = LOOK_ALI
 
 
 def _tokens(text: Column) -> Column:
-    return F.filter(F.split(text, f"[{_BLANK}]+"), lambda x: x != "")
+    return F.filter(F.split(text, f"[{_JVM_BLANK}]+"), lambda x: x != "")
 
 
 def spellings(df: DataFrame, text: str, scratch: Scratch, words_per_task: int = WORDS) -> DataFrame:
@@ -331,10 +333,10 @@ def _joined_text(df: DataFrame, text: str, out: str, other: DataFrame, scratch:
     """The same by a join of every token with its form."""
     row = F.struct(*[F.col(f"`{c}`") for c in df.columns if c != out])
     rows = scratch.write(df.select(row.alias("row"), F.col(text).alias("t")).withColumn("at", F.monotonically_increasing_id()), "rows")
-    parts = rows.select("at", F.posexplode(F.regexp_extract_all("t", F.lit(f"([{_BLANK}]+|[^{_BLANK}]+)"), F.lit(1))).alias("k", "token"))
+    parts = rows.select("at", F.posexplode(F.regexp_extract_all("t", F.lit(f"([{_JVM_BLANK}]+|[^{_JVM_BLANK}]+)"), F.lit(1))).alias("k", "token"))
     hot = hot_values(other, "token", "n")
     parts = lookup_join(parts, other.select("token", "form"), ["token"], hot, F.struct("at", "k"), "left")
-    blank = F.when(F.col("token").rlike(f"^[{_BLANK}]"), F.translate("token", _SPACES, " " * len(_SPACES))).otherwise(F.col("token"))
+    blank = F.when(F.col("token").rlike(f"^[{_JVM_BLANK}]"), F.translate("token", _SPACES, " " * len(_SPACES))).otherwise(F.col("token"))
     texts = parts.groupBy("at").agg(F.array_sort(F.collect_list(F.struct("k", F.coalesce("form", blank).alias("f")))).alias("l"))
     texts = texts.select("at", F.array_join(F.transform("l", lambda x: x["f"]), "").alias("form"))
     return rows.join(texts, "at", "left").select("row.*", F.coalesce("form", "t").alias(out))
