@@ -1,6 +1,7 @@
 """Hot keys, packed fields and timestamps against brute force, with the defined cases of each."""
 
 import datetime as dt
+import math
 import random
 from zoneinfo import ZoneInfo
 
@@ -104,6 +105,43 @@ def test_learned_frequencies_keep_a_name_whole(spark):
     assert got[0] == ["Hall 3/B", "X"]
 
 
+def every_way(atoms, joined):
+    """All ways through a lattice."""
+    if not atoms:
+        return [[]]
+    found = [[atoms[0], *rest] for rest in every_way(atoms[1:], {(a - 1, k): n for (a, k), n in joined.items() if a > 0})]
+    for (a, k), name in joined.items():
+        if a == 0:
+            found += [[name, *rest] for rest in every_way(atoms[k:], {(b - k, m): n for (b, m), n in joined.items() if b >= k})]
+    return found
+
+
+def test_expected_times_and_best_ways_are_those_of_all_ways():
+    rng = random.Random(5)
+    for _ in range(60):
+        atoms = [rng.choice("abc") for _ in range(rng.randrange(1, 7))]
+        joined = {(i, k): "/".join(atoms[i : i + k]) for i in range(len(atoms)) for k in (2, 3, 4) if i + k <= len(atoms) and rng.random() < 0.5}
+        names = {*atoms, *joined.values()}
+        weight, total = {n: rng.random() * 9 for n in names}, 50.0
+        lattice = S.Lattice(atoms, joined, weight, total)
+        ways = every_way(atoms, joined)
+        share = [math.prod(max(weight[n], S.LEAST) / total for n in way) for way in ways]
+        want = {}
+        for way, p in zip(ways, share, strict=True):
+            for n in way:
+                want[n] = want.get(n, 0.0) + p / sum(share)
+        assert lattice.expected() == pytest.approx(want)
+        assert max(zip(share, ways))[0] == pytest.approx(math.prod(max(weight[n], S.LEAST) / total for n in lattice.best()))
+
+
+def test_long_runs_curly_quotes_and_repeated_keys(spark):
+    """No run is too long, and rows of one key do not mix."""
+    rows = [(i, '"A/B/C/D"') for i in range(60)] + [(100, "A/B/C/D، X"), (100, "A/B/C/D، X"), (100, "Y، A/B"), (200, "‘Berlin’"), (201, "‘a, b’، c")]
+    df = spark.createDataFrame(rows, "id int, loc string")
+    got = sorted((r["id"], r["pos"], r["entity"]) for r in S.split_fields(df, "id", ["loc"]).where("id >= 100").collect())
+    assert got == sorted([(100, 1, "A/B/C/D"), (100, 2, "X")] * 2 + [(100, 1, "Y"), (100, 2, "A"), (100, 3, "B"), (200, 1, "Berlin"), (201, 1, "a, b"), (201, 2, "c")])
+
+
 # ---- timestamps
 
 
