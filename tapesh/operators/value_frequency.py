@@ -16,7 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tapesh.runtime import Scratch
+from tapesh.runtime import Scratch, hot_values, lookup_join
 
 #: Order-preserving prefixes of microseconds since the epoch, coarse to fine; no step has over 10^6 values within one of the step before it, but the first.
 TIME_STEPS = (86_400_000_000, 1_000_000, 1)
@@ -37,10 +37,13 @@ def distinct_counts(frequencies: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def modes(frequencies: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     """keys, mode, mode_n: the most frequent value of each key, the smallest of equally frequent ones."""
-    most = F.max("n").alias("mode_n")
-    top = frequencies.groupBy(*keys).agg(most)
-    ties = frequencies.join(top, list(keys)).where(F.col("n") == F.col("mode_n"))
-    return ties.groupBy(*keys).agg(F.min(value).alias("mode"), F.max("mode_n").alias("mode_n"))
+    return frequencies.groupBy(*keys).agg(F.min_by(value, F.struct(-F.col("n"), F.col(value))).alias("mode"), F.max("n").alias("mode_n"))
+
+
+def value_stats(frequencies: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """keys, n_rows, n_distinct, mode, mode_n in one aggregation."""
+    mode = F.min_by(value, F.struct(-F.col("n"), F.col(value)))
+    return frequencies.groupBy(*keys).agg(F.sum("n").alias("n_rows"), F.count(F.lit(1)).alias("n_distinct"), mode.alias("mode"), F.max("n").alias("mode_n"))
 
 
 def _steps(column: str, steps: Sequence[int]) -> list[Column]:
@@ -48,52 +51,46 @@ def _steps(column: str, steps: Sequence[int]) -> list[Column]:
     return [F.expr(value if s == 1 else f"({value} div {s}L) - if({value} < 0 and {value} % {s}L <> 0, 1, 0)") for s in steps]
 
 
-def select_at(rows: DataFrame, keys: Sequence[str], order: dict[str, Sequence[int]], place: str, bound: int = 100_000) -> DataFrame:
+def select_at(rows: DataFrame, keys: Sequence[str], order: dict[str, Sequence[int]], place: str) -> DataFrame:
     """The row of each key at a place of its order.
 
     order maps bigint columns to their steps (TIME_STEPS, ID_STEPS); place is
     a SQL expression on _n, a key's number of rows, counted from 1. A key's rows
-    are weighed by the first step of the order, the step holding the place is
-    kept, and so on with finer steps until at most bound rows of any key are
-    left; those alone are sorted. No task ever holds more of a key than bound
-    rows or one step's distinct values, whatever the key's share of the rows.
+    are compressed to the values of the first step of the order with their
+    weights, the value that holds the place is kept, and so on with finer
+    steps, over the rows of the values kept. A key is done once its value has
+    one row, or at the last step. No rows are sorted: a task holds a key's
+    distinct values of one step, whatever the key's share of the rows.
 
     Returns keys, the order columns, n.
     """
-    keys = list(keys)
     scratch = Scratch(rows.sparkSession, "select")
-    levels = [step for column, steps in order.items() for step in _steps(column, steps)]
-    base = rows.select(*keys, *order)
+    steps = [(f"_s{k}", step) for k, step in enumerate(step for column, its in order.items() for step in _steps(column, its))]
+    # the keys as one struct, in which nulls are equal
+    row = [f"_o{k}" for k in range(len(order))]
+    left = rows.select(F.struct(*keys).alias("_key"), *[F.col(c).alias(o) for c, o in zip(order, row, strict=True)], *[step.alias(name) for name, step in steps])
+    left = left.withColumns({"_n": F.lit(0).cast("long"), "_place": F.lit(0).cast("long")})
+    by = Window.partitionBy("_key")
     found: DataFrame | None = None
-    at: DataFrame | None = None
-    on: list[tuple[str, Column]] = []
-    for k, step in enumerate(levels):
-        name = f"_s{k}"
-        left = base.withColumns({n: c for n, c in on} | {name: step})
-        if at is not None:
-            left = left.join(at.where(F.col("_cnt") > bound).select(*keys, *[n for n, _ in on], "_n", "_place"), [*keys, *[n for n, _ in on]])
-        else:
-            left = left.withColumns({"_n": F.lit(0).cast("long"), "_place": F.lit(0).cast("long")})
-        weights = left.groupBy(*keys, *[n for n, _ in on], name).agg(F.count(F.lit(1)).alias("_cnt"), F.max("_n").alias("_n"), F.max("_place").alias("_place"))
-        by = Window.partitionBy(*keys)
-        run = by.orderBy(name).rowsBetween(Window.unboundedPreceding, 0)
-        if at is None:
+    for k, (name, _) in enumerate(steps):
+        weights = left.groupBy("_key", name).agg(F.count(F.lit(1)).alias("_cnt"), F.max("_n").alias("_n"), F.max("_place").alias("_place"), *[F.min(o).alias(o) for o in row])
+        if k == 0:
             weights = weights.withColumn("_n", F.sum("_cnt").over(by)).withColumn("_place", F.expr(place))
-        hit = weights.withColumn("_cum", F.sum("_cnt").over(run)).where((F.col("_cum") >= F.col("_place")) & (F.col("_cum") - F.col("_cnt") < F.col("_place")))
-        hit = hit.select(*keys, *[n for n, _ in on], name, "_n", (F.col("_place") - F.col("_cum") + F.col("_cnt")).alias("_place"), "_cnt")
-        at = scratch.write(hit, f"level{k}")
-        on.append((name, step))
-        last = k == len(levels) - 1
-        done = at if last else at.where(F.col("_cnt") <= bound)
-        few = base.withColumns(dict(on)).join(done.drop("_cnt"), [*keys, *[n for n, _ in on]])
-        if last:  # what is left of a key is one value of the whole order, however often it occurs
-            few = few.dropDuplicates([*keys, *[n for n, _ in on]]).withColumn("_place", F.lit(1).cast("long"))
-        w = Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_first() for c in order])
-        few = few.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == F.col("_place"))
-        few = few.select(*keys, *order, F.col("_n").alias("n"))
-        found = few if found is None else found.unionByName(few)
-        if last or at.where(F.col("_cnt") > bound).isEmpty():
+        weights = weights.withColumn("_cum", F.sum("_cnt").over(by.orderBy(name).rowsBetween(Window.unboundedPreceding, 0)))
+        hit = weights.where((F.col("_cum") >= F.col("_place")) & (F.col("_cum") - F.col("_cnt") < F.col("_place")))
+        hit = hit.select("_key", name, *row, "_n", (F.col("_place") - F.col("_cum") + F.col("_cnt")).alias("_place"), "_cnt", F.xxhash64("_key", name).alias("_hash"))
+        hit = scratch.write(hit, f"step{k}")
+        last = k == len(steps) - 1
+        done = (hit if last else hit.where("_cnt = 1")).select("_key.*", *[F.col(o).alias(c) for c, o in zip(order, row, strict=True)], F.col("_n").alias("n"))
+        found = done if found is None else found.unionByName(done)
+        more = hit.where("_cnt > 1")
+        if last or more.isEmpty():
             return found
+        of_value = ["_hash", "_key", name]
+        rows_now = left.drop("_n", "_place").withColumn("_hash", F.xxhash64("_key", name))
+        now = lookup_join(rows_now, more.select(*of_value, "_n", "_place"), of_value, hot_values(more, "_hash", "_cnt"), F.struct(*row))
+        before, left = left, scratch.write(now.drop("_hash", name), f"rows{k}")
+        scratch.drop(before)
     raise AssertionError("unreachable")
 
 

@@ -30,7 +30,7 @@ def p2_value_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per key: its posts, distinct channels and most frequent channel."""
     long = _keyed(read(spark, sf_dir, "posts"), "channel_id")
     freq = V.value_frequencies(long, KEYS, "channel_id")
-    stats = V.distinct_counts(freq, KEYS).join(V.modes(freq, KEYS, "channel_id"), KEYS)
+    stats = V.value_stats(freq, KEYS, "channel_id")
     return stats.select(*KEYS, F.col("n_rows").alias("n_posts"), F.col("n_distinct").alias("n_channels"), F.col("mode").alias("top_channel"), F.col("mode_n").alias("top_n"))
 
 

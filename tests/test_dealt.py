@@ -8,6 +8,7 @@ from zoneinfo import ZoneInfo
 import pytest
 from pyspark.sql import functions as F
 
+from tapesh import runtime
 from tapesh.operators import split_fields as S
 from tapesh.operators import timestamps as T
 from tapesh.operators import value_frequency as V
@@ -22,15 +23,15 @@ def brute_median(rows):
     return {k: sorted(v)[(len(v) + 1) // 2 - 1][3] for k, v in groups.items()}
 
 
-@pytest.mark.parametrize("bound", [1, 3, 100_000])
-def test_select_at_matches_brute_force(spark, bound):
+@pytest.mark.parametrize("hot_rows", [1, 50_000])
+def test_select_at_matches_brute_force(spark, monkeypatch, hot_rows):
+    monkeypatch.setattr(runtime, "HOT_ROWS", hot_rows)
     rng = random.Random(7)
     rows = [(rng.choice(["hot"] * 6 + ["a", "b", None]), rng.choice([0, 5, -3, 86_400_000_000 * 3 + 7, None, rng.randrange(10**15)]), rng.randrange(1, 1 << 45)) for _ in range(400)]
     rows += [("one", None, 3), ("same", 5, 9), ("same", 5, 9)]
     df = spark.createDataFrame([(*r, "x", 1) for r in rows], "k string, ts bigint, id bigint, _s0 string, _n int")
-    out = V.select_at(df, ["k"], {"ts": V.TIME_STEPS, "id": V.ID_STEPS}, V.LOWER_MEDIAN, bound=bound).collect()
-    want = brute_median([r for r in rows if r[0] is not None])
-    assert {r["k"]: r["id"] for r in out if r["k"] is not None} == want
+    out = V.select_at(df, ["k"], {"ts": V.TIME_STEPS, "id": V.ID_STEPS}, V.LOWER_MEDIAN).collect()
+    assert {r["k"]: r["id"] for r in out} == brute_median(rows)
     assert len(out) == len({(r["k"]) for r in out})
 
 
@@ -44,6 +45,7 @@ def test_frequencies_modes_and_distinct_counts(spark):
     f = V.value_frequencies(df, ["k"], "v")
     assert [tuple(r) for r in V.distinct_counts(f, ["k"]).collect()] == [("a", 4, 2)]
     assert [tuple(r) for r in V.modes(f, ["k"], "v").collect()] == [("a", 1, 2)]
+    assert [tuple(r) for r in V.value_stats(f, ["k"], "v").collect()] == [("a", 4, 2, 1, 2)]
 
 
 # ---- packed fields
@@ -196,6 +198,10 @@ TIMES = [
     ("20231399", None),
     ("3 خرداد 2022", None),
     ("1" * 5000, None),
+    ("2021-07-29T20:26:27.123456" + "7" * 70, us(2021, 7, 29, 20, 26, 27, zone="Asia/Tehran") + 123456),
+    ("2021-07-29" + " " * 3000 + "20:26:27.123456" + "7" * 5000 + " +0330", us(2021, 7, 29, 16, 56, 27) + 123456),
+    ("1655212082." + "4" * 90, 1655212082444444),
+    ("0" * 30 + "1636297828", 1636297828 * 10**6),
 ]
 
 
