@@ -8,8 +8,9 @@ arithmetic on the JVM; the only lookup is the zone of a source.
 Policies: a wall-clock time that the clocks skip keeps the offset in force
 before the change; one that occurs twice is the first; digits beyond
 microseconds are cut; parts not written are zero. Years 1300 to 1499 are
-Jalali, others Gregorian. Null, blank and placeholder values give null, as
-do very long values. Repeated rows give repeated results.
+Jalali, others Gregorian. Null, blank and placeholder values give null. No
+value and no fraction is too long; a Unix time above 20 digits is none.
+Repeated rows give repeated results.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ JALALI_MONTHS = ("فروردین", "اردیبهشت", "خرداد", "تیر", "
 PERSIAN_DIGITS, ARABIC_DIGITS = "۰۱۲۳۴۵۶۷۸۹", "٠١٢٣٤٥٦٧٨٩"
 
 _ZONE = r"(?: ?(Z|z|UTC|utc|GMT|gmt|[+-]\d{2}(?::?\d{2})?|\[[A-Za-z]+(?:[/_+-][A-Za-z0-9]+)*\]|(?<= )[A-Z][A-Za-z]+(?:[/_+-][A-Za-z0-9]+)+))?"
-_TIME = r"(\d{1,2}):(\d{2})(?::(\d{2})(?:[.,](\d+))?)?(?: ?([AaPp])\.?[Mm]\.?)?"
+_TIME = r"(\d{1,2}):(\d{2})(?::(\d{2})(?:[.,](\d++))?)?(?: ?([AaPp])\.?[Mm]\.?)?"
 _TAIL = rf"(?:(?:[Tt]|,? ?-? |,? ساعت ){_TIME}{_ZONE}|{_ZONE})$"
 _DOW = r"(?:[A-Za-z]{3,9},? )?"
 _EN = "(?i:jan(?:uary)?|feb(?:ruary)?|mar(?:ch)?|apr(?:il)?|may|june?|july?|aug(?:ust)?|sept?(?:ember)?|oct(?:ober)?|nov(?:ember)?|dec(?:ember)?)"
@@ -36,10 +37,10 @@ _FA = "|".join(JALALI_MONTHS)
 CASCADE = (
     ("ymd", rf"^(\d{{4}})([-/.])(\d{{1,2}})\2(\d{{1,2}}){_TAIL}", "$1|$3|$4|$5|$6|$7|$8|$9|$10|$11"),
     ("numeric", rf"^(\d{{1,2}})([-/.])(\d{{1,2}})\2(\d{{4}}){_TAIL}", "$4|$1|$3|$5|$6|$7|$8|$9|$10|$11"),
-    ("compact", rf"^(\d{{4}})(\d{{2}})(\d{{2}})(?:[Tt]?(\d{{2}})(\d{{2}})(\d{{2}})?(?:[.,](\d+))?)?{_ZONE}$", "$1|$2|$3|$4|$5|$6|$7||$8|"),
+    ("compact", rf"^(\d{{4}})(\d{{2}})(\d{{2}})(?:[Tt]?(\d{{2}})(\d{{2}})(\d{{2}})?(?:[.,](\d++))?)?{_ZONE}$", "$1|$2|$3|$4|$5|$6|$7||$8|"),
     ("day_name", rf"^{_DOW}(\d{{1,2}})[- ]({_EN}|{_FA})\.?,?[- ](\d{{4}}){_TAIL}", "$3|$2|$1|$4|$5|$6|$7|$8|$9|$10"),
     ("name_day", rf"^{_DOW}({_EN})\.? (\d{{1,2}}),? (\d{{4}}){_TAIL}", "$3|$1|$2|$4|$5|$6|$7|$8|$9|$10"),
-    ("unix", r"^(\d{1,20})(?:\.(\d+))?$", "$1||||||$2|||"),
+    ("unix", r"^(\d++)(?:\.(\d++))?$", "$1||||||$2|||"),
 )
 
 
@@ -74,7 +75,7 @@ def to_utc_micros(df: DataFrame, value: str, zone: str, date_order: str | None,
     # digits alone read as a date only if they have the length of one and a plausible year
     plain = F.col("_v").rlike(r"^\d+$")
     dated = F.length("_v").isin(8, 12, 14) & F.col("_v").rlike("^(?:1[34]|19|20)")
-    t = t.withColumn("_k", F.when(F.length("_v") <= 80, F.when(plain & ~dated, 5).otherwise(kind)))
+    t = t.withColumn("_k", F.when(plain & ~dated, 5).otherwise(kind))
     t = worked_out(t.withColumn("_p", F.split(parts, r"\|")), "_v", "_k", "_p")
     item = lambda i: F.nullif(F.get(F.col("_p"), F.lit(i)), F.lit(""))
     month = item(1)
