@@ -7,7 +7,7 @@ day. Sizes of 1 have cohesion and coverage 0. Ties are broken by id or term.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tapesh.config import EngineConfig
@@ -15,11 +15,12 @@ from tapesh.functions import text as T
 from tapesh.functions import vectors as V
 from tapesh.functions.jalali import format_jalali, to_jalali
 from tapesh.operators.graph import connected_components, similarity_edges
+from tapesh.operators.value_frequency import select_places
 from tapesh.runtime import Scratch
 
 KEYS = ["day", "cluster"]
-#: Slices of a cluster's terms.
-TERM_SLICES = 8
+#: Characters up to which all parts of a word, or of two adjacent words, are looked up among the terms; longer ones are compared with each term.
+INDEXED = 60
 
 
 def merge_clusters(messages: DataFrame, member: DataFrame, cfg: EngineConfig) -> DataFrame:
@@ -36,12 +37,32 @@ def similarities(messages: DataFrame, member: DataFrame) -> DataFrame:
     return rows.join(V.centroids(rows, KEYS, "vec"), KEYS).select(*KEYS, "msg_id", V.cosine(F.col("vec"), F.col("centroid")).alias("sim"))
 
 
+#: Similarities as whole numbers, exact to 2^-53, and their steps.
+_SCALE, _SIM_STEPS = 1 << 53, (1 << 44, 1 << 26, 1 << 9, 1)
+#: Places of the order statistics between which the percentile lies, counted from 1.
+_PLACES = {f"{name}{k}": f"cast({kind}({p} * (_n - 1)) as bigint) + 1" for name, p in (("p25", 0.25), ("p50", 0.5)) for k, kind in (("a", "floor"), ("b", "ceil"))}
+
+
 def cohesion(sims: DataFrame, cfg: EngineConfig) -> DataFrame:
-    """day, cluster, n, median_sim, p25_sim, cohesion, coverage."""
-    one = F.count(F.lit(1)) <= 1
-    at = lambda p: F.when(one, 0.0).otherwise(F.percentile("sim", F.lit(p)))
-    covered = F.when(one, 0.0).otherwise(F.avg(F.when(F.col("sim") >= cfg.coverage_similarity, 1.0).otherwise(0.0)))
-    out = sims.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("n"), at(0.5).alias("median_sim"), at(0.25).alias("p25_sim"), covered.alias("coverage"))
+    """day, cluster, n, median_sim, p25_sim, cohesion, coverage.
+
+    The percentiles are those of linear interpolation; the places between
+    which they lie are found by weighted steps, so no task holds a cluster.
+    """
+    scratch = Scratch(sims.sparkSession, "cohesion")
+    rows = scratch.write(sims.select(*KEYS, F.col("sim").cast("double").alias("sim")), "sims")
+    covered = F.avg(F.when(F.col("sim") >= cfg.coverage_similarity, 1.0).otherwise(0.0))
+    counts = rows.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("n"), covered.alias("_covered"))
+    scaled = rows.select(*KEYS, F.floor(F.col("sim") * F.lit(float(_SCALE))).cast("bigint").alias("_sim"))
+    found = select_places(scaled, KEYS, {"_sim": _SIM_STEPS}, _PLACES)
+    at = {w: F.max(F.when(F.col("which") == w, F.col("_sim") / F.lit(float(_SCALE)))) for w in _PLACES}
+    stats = counts.join(found.groupBy(*KEYS).agg(*[c.alias(w) for w, c in at.items()]), KEYS)
+
+    def percentile(name: str, p: float) -> Column:
+        part = p * (F.col("n") - 1) - F.floor(p * (F.col("n") - 1))
+        return F.when(F.col("n") <= 1, 0.0).otherwise(F.col(f"{name}a") + part * (F.col(f"{name}b") - F.col(f"{name}a")))
+
+    out = stats.select(*KEYS, "n", percentile("p50", 0.5).alias("median_sim"), percentile("p25", 0.25).alias("p25_sim"), F.when(F.col("n") <= 1, 0.0).otherwise(F.col("_covered")).alias("coverage"))
     return out.withColumn("cohesion", 0.7 * F.col("median_sim") + 0.3 * F.col("p25_sim"))
 
 
@@ -57,9 +78,19 @@ def hourly_spike(rows: DataFrame, keys: list[str], ts: str, cfg: EngineConfig) -
 
 
 def iqr_fence(sizes: DataFrame, day: str = "day", n: str = "n") -> DataFrame:
-    """day, fence: q3 + 1.5 iqr of the sizes; a day of one cluster has none (infinity)."""
-    q1, q3 = F.percentile(n, F.lit(0.25)), F.percentile(n, F.lit(0.75))
-    return sizes.groupBy(day).agg(F.when(F.count(F.lit(1)) > 1, q3 + 1.5 * (q3 - q1)).otherwise(F.lit(float("inf"))).alias("fence"))
+    """day, fence: q3 + 1.5 iqr of the sizes; a day of one cluster has none (infinity).
+
+    The sizes are counted first: a day of so many messages has at most about
+    the square root of twice as many different ones.
+    """
+    often = sizes.groupBy(day, n).agg(F.count(F.lit(1)).alias("_f"))
+    q1, q3 = (F.percentile(n, F.lit(p), F.col("_f")) for p in (0.25, 0.75))
+    return often.groupBy(day).agg(F.when(F.sum("_f") > 1, q3 + 1.5 * (q3 - q1)).otherwise(F.lit(float("inf"))).alias("fence"))
+
+
+def with_ratio(clusters: DataFrame, per_day: DataFrame) -> DataFrame:
+    """clusters (day, n and more) with day_n of per_day, and ratio: the percentage of the day's messages."""
+    return clusters.join(per_day, "day").withColumn("ratio", 100.0 * F.col("n") / F.col("day_n"))
 
 
 def statistics(messages: DataFrame, member: DataFrame, cfg: EngineConfig) -> DataFrame:
@@ -67,8 +98,7 @@ def statistics(messages: DataFrame, member: DataFrame, cfg: EngineConfig) -> Dat
     stats = cohesion(similarities(messages, member), cfg)
     spikes = hourly_spike(messages.select("msg_id", "ts").join(member, "msg_id"), KEYS, "ts", cfg).drop("total")
     per_day = messages.groupBy("day").agg(F.count(F.lit(1)).alias("day_n"))
-    out = stats.join(spikes, KEYS).join(iqr_fence(stats), "day").join(per_day, "day")
-    return out.withColumn("ratio", 100.0 * F.col("n") / F.col("day_n"))
+    return with_ratio(stats.join(spikes, KEYS).join(iqr_fence(stats), "day"), per_day)
 
 
 def apply_rules(stats: DataFrame, cfg: EngineConfig) -> DataFrame:
@@ -101,6 +131,18 @@ def term_counts(rows: DataFrame, keys: list[str], text: str, least: int = 2) ->
     return words.select(*keys, F.explode(T.terms(F.col("_w"))).alias("term")).groupBy(*keys, "term").agg(F.count(F.lit(1)).alias("freq")).where(F.col("freq") >= least)
 
 
+def _parts(piece: Column) -> Column:
+    """All parts of a word; of two words with a blank between them those that hold the blank."""
+    blank = F.locate(" ", piece)
+    until = F.when(blank > 0, blank - 1).otherwise(F.length(piece))
+
+    def from_(i: Column) -> Column:
+        ends = F.sequence(F.when(blank > 0, blank + 1).otherwise(i), F.length(piece))
+        return F.transform(ends, lambda j: F.substring(piece, i, j - i + 1))
+
+    return F.array_distinct(F.flatten(F.transform(F.sequence(F.lit(1), until), from_)))
+
+
 def keyword_scores(messages: DataFrame, member: DataFrame, cfg: EngineConfig) -> DataFrame:
     """day, cluster, term, freq, score, rank of the best terms.
 
@@ -110,12 +152,20 @@ def keyword_scores(messages: DataFrame, member: DataFrame, cfg: EngineConfig) ->
     """
     rows = messages.select("msg_id", "text", "vec").join(member, "msg_id").withColumn("_norm", T.normalize_text(F.col("text")))
     terms = term_counts(rows, KEYS, "text", cfg.min_term_count)
-    # every term meets every member of its cluster; the terms are dealt to slices, so that a cluster is not one task's work
-    n = max(TERM_SLICES, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    dealt = terms.select(*KEYS, "term", F.pmod(F.xxhash64("term"), F.lit(TERM_SLICES)).alias("_slice"))
-    copies = rows.select(*KEYS, "vec", "_norm", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(TERM_SLICES - 1).cast("long"))).alias("_slice"))
-    at = [*KEYS, "_slice"]
-    holding = copies.repartition(n, *at).join(dealt.repartition(n, *at), at).where(F.col("_norm").contains(F.col("term")))
+    scratch = Scratch(rows.sparkSession, "keywords")
+    terms = scratch.write(terms, "terms")
+    words = F.split("_norm", " ")
+    pairs = F.zip_with(words, F.slice(words, 2, F.greatest(F.size(words), F.lit(1))), lambda a, b: F.concat(a, F.lit(" "), b))
+    pieces = F.array_distinct(F.concat(words, F.filter(pairs, lambda x: x.isNotNull())))
+    pieces = scratch.write(rows.select(*KEYS, "msg_id", F.explode(pieces).alias("_piece")).where(F.col("_piece") != ""), "pieces")
+    # a term is part of a text where it is part of one of its words, or of two adjacent ones across the blank between them
+    distinct = pieces.select(*KEYS, "_piece").distinct()
+    short = distinct.where(F.length("_piece") <= INDEXED).select(*KEYS, "_piece", F.explode(_parts(F.col("_piece"))).alias("term"))
+    held = short.join(terms.select(*KEYS, "term"), [*KEYS, "term"])
+    long = distinct.where(F.length("_piece") > INDEXED).join(terms.select(*KEYS, "term"), KEYS).where(F.col("_piece").contains(F.col("term")))
+    held = held.select(*KEYS, "_piece", "term").unionByName(long.select(*KEYS, "_piece", "term"))
+    holding = pieces.join(held, [*KEYS, "_piece"]).select(*KEYS, "msg_id", "term").distinct()
+    holding = holding.join(rows.select("msg_id", "vec").dropDuplicates(["msg_id"]), "msg_id")
     means = V.centroids(holding, [*KEYS, "term"], "vec", "_mean").join(terms, [*KEYS, "term"])
     scored = means.join(V.centroids(rows, KEYS, "vec"), KEYS)
     score = F.round(0.7 * V.cosine(F.col("_mean"), F.col("centroid")) + 0.3 * F.log1p(F.col("freq").cast("double")), 6)

@@ -121,7 +121,8 @@ def denoise(rows: DataFrame, cfg: EngineConfig) -> DataFrame:
 def merge_by_medoid(rows: DataFrame, cfg: EngineConfig) -> DataFrame:
     """rows (row_id, future_date, cluster_id, vec and more) with clusters of a date merged whose medoids are similar; the smallest name stays."""
     inside = rows.where(F.col("cluster_id").isNotNull())
-    m = V.medoids(inside, ["future_date", "cluster_id"], "row_id", "vec")
+    counts = inside.groupBy("future_date").agg(F.count(F.lit(1)).alias("_n"))
+    m = V.medoids(inside, ["future_date", "cluster_id"], "row_id", "vec", hot_values(counts, "future_date", "_n"))
     near = similarity_edges(m, "future_date", "cluster_id", "vec", cfg.medoid_merge, cfg.block_rows)
     new = connected_components(near).select(F.col("node").alias("cluster_id"), F.col("component").alias("_new"))
     return rows.join(new, "cluster_id", "left").withColumn("cluster_id", F.coalesce("_new", "cluster_id")).drop("_new")
@@ -134,18 +135,35 @@ def verify_candidates(rows: DataFrame, cfg: EngineConfig, text: str = "text", lo
     """
     inside = rows.where(F.col("cluster_id").isNotNull())
     sizes = inside.groupBy("cluster_id").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > cfg.verify_above)
-    inside = inside.join(sizes, "cluster_id")
+    inside = inside.join(sizes.select("cluster_id"), "cluster_id", "left_semi")
     drawn = F.row_number().over(Window.partitionBy("cluster_id").orderBy(F.xxhash64(F.lit(cfg.seed), "row_id"), "row_id"))
     sample = inside.select("cluster_id", "row_id", text, drawn.alias("_d")).where(F.col("_d") <= cfg.verify_sample)
     sample = sample.groupBy("cluster_id").agg(F.array_sort(F.collect_list(F.struct("_d", F.col(text).alias("t")))).alias("_s"))
-    time, place = most_common(inside, "cluster_id", "future_date", "predicted_time"), most_common(inside, "cluster_id", location, "predicted_location")
+    time, place = most_common(inside, "cluster_id", "future_date", "predicted_time"), most_common(inside, "cluster_id", location, "predicted_location", lists=True)
     out = sizes.join(sample, "cluster_id").join(time, "cluster_id", "left").join(place, "cluster_id", "left")
     return out.select("cluster_id", "size", F.transform("_s", lambda x: x["t"]).alias("messages"), "predicted_time", "predicted_location")
 
 
-def most_common(rows: DataFrame, key: str, value: str, out: str) -> DataFrame:
-    """key, out: the most frequent non-blank value of each key, the smallest of equally frequent ones."""
-    said = F.col(value).isNotNull() & ~T.strip(F.col(value)).isin("", "None")
-    counts = rows.where(said).groupBy(key, F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
-    top = counts.groupBy(key).agg(F.max("_c").alias("_c"))
-    return counts.join(top, [key, "_c"]).groupBy(key).agg(F.min("_v").alias(out))
+#: The first of a list's elements: in single or double quotes, or a number.
+_FIRST = r"""(?s)^\s*(?:'((?:[^'\\]|\\.)*)'|"((?:[^"\\]|\\.)*)"|(-?[0-9][^,]*?))\s*(?:,.*)?$"""
+
+
+def first_of_list(value: Column) -> Column:
+    """The first element of a list written as '[..]', null of an empty one; other values without the blanks around them."""
+    text = T.strip(value)
+    listed = text.rlike(r"(?s)^\[.*\]$")
+    inside = F.substring(text, F.lit(2), F.length(text) - 2)
+    part = lambda k: F.regexp_extract(inside, _FIRST, k)
+    first = F.regexp_replace(F.concat(part(1), part(2), part(3)), r"(?s)\\(.)", "$1")
+    return F.when(~listed, text).when(T.strip(inside) == "", None).when(part(0) == "", text).otherwise(first)
+
+
+def most_common(rows: DataFrame, key: str, value: str, out: str, lists: bool = False) -> DataFrame:
+    """key, out: the most frequent non-blank value of each key, the smallest of equally frequent ones.
+
+    lists: of a value written as a list its first element counts.
+    """
+    said = first_of_list(F.col(value)) if lists else F.col(value)
+    rows = rows.select(key, said.alias("_v"))
+    counts = rows.where(F.col("_v").isNotNull() & ~T.strip(F.col("_v")).isin("", "None")).groupBy(key, "_v").agg(F.count(F.lit(1)).alias("_c"))
+    return counts.groupBy(key).agg(F.min_by("_v", F.struct(-F.col("_c"), F.col("_v"))).alias(out))

@@ -64,31 +64,44 @@ def select_at(rows: DataFrame, keys: Sequence[str], order: dict[str, Sequence[in
 
     Returns keys, the order columns, n.
     """
+    return select_places(rows, keys, order, {"": place}).drop("which")
+
+
+def select_places(rows: DataFrame, keys: Sequence[str], order: dict[str, Sequence[int]], places: dict[str, str]) -> DataFrame:
+    """which, keys, the order columns, n: select_at() for several places at once, each with its name."""
     scratch = Scratch(rows.sparkSession, "select")
     steps = [(f"_s{k}", step) for k, step in enumerate(step for column, its in order.items() for step in _steps(column, its))]
     # the keys as one struct, in which nulls are equal
     row = [f"_o{k}" for k in range(len(order))]
     left = rows.select(F.struct(*keys).alias("_key"), *[F.col(c).alias(o) for c, o in zip(order, row, strict=True)], *[step.alias(name) for name, step in steps])
-    left = left.withColumns({"_n": F.lit(0).cast("long"), "_place": F.lit(0).cast("long")})
-    by = Window.partitionBy("_key")
+    all_places = F.array(*[F.struct(F.lit(which).alias("which"), F.expr(place).alias("_place")) for which, place in places.items()])
     found: DataFrame | None = None
     for k, (name, _) in enumerate(steps):
-        weights = left.groupBy("_key", name).agg(F.count(F.lit(1)).alias("_cnt"), F.max("_n").alias("_n"), F.max("_place").alias("_place"), *[F.min(o).alias(o) for o in row])
-        if k == 0:
-            weights = weights.withColumn("_n", F.sum("_cnt").over(by)).withColumn("_place", F.expr(place))
+        # one pass for all places at the first step, later the rows of each place's value
+        of = ["_key"] if k == 0 else ["which", "_key"]
+        kept = [] if k == 0 else [F.max("_n").alias("_n"), F.max("_place").alias("_place")]
+        weights = left.groupBy(*of, name).agg(F.count(F.lit(1)).alias("_cnt"), *kept, *[F.min(o).alias(o) for o in row])
+        by = Window.partitionBy(*of)
         weights = weights.withColumn("_cum", F.sum("_cnt").over(by.orderBy(name).rowsBetween(Window.unboundedPreceding, 0)))
+        if k == 0:
+            weights = weights.withColumn("_n", F.sum("_cnt").over(by)).select("*", F.explode(all_places).alias("_p")).select("*", "_p.*").drop("_p")
         hit = weights.where((F.col("_cum") >= F.col("_place")) & (F.col("_cum") - F.col("_cnt") < F.col("_place")))
-        hit = hit.select("_key", name, *row, "_n", (F.col("_place") - F.col("_cum") + F.col("_cnt")).alias("_place"), "_cnt", F.xxhash64("_key", name).alias("_hash"))
+        hit = hit.select("which", "_key", name, *row, "_n", (F.col("_place") - F.col("_cum") + F.col("_cnt")).alias("_place"), "_cnt", F.xxhash64("_key", name).alias("_hash"))
         hit = scratch.write(hit, f"step{k}")
         last = k == len(steps) - 1
-        done = (hit if last else hit.where("_cnt = 1")).select("_key.*", *[F.col(o).alias(c) for c, o in zip(order, row, strict=True)], F.col("_n").alias("n"))
+        done = (hit if last else hit.where("_cnt = 1")).select("which", "_key.*", *[F.col(o).alias(c) for c, o in zip(order, row, strict=True)], F.col("_n").alias("n"))
         found = done if found is None else found.unionByName(done)
         more = hit.where("_cnt > 1")
         if last or more.isEmpty():
             return found
-        of_value = ["_hash", "_key", name]
+        of_value = ["_hash", "_key", name] if k == 0 else ["_hash", "which", "_key", name]
         rows_now = left.drop("_n", "_place").withColumn("_hash", F.xxhash64("_key", name))
-        now = lookup_join(rows_now, more.select(*of_value, "_n", "_place"), of_value, hot_values(more, "_hash", "_cnt"), F.struct(*row))
+        if k == 0:  # the places of a value go together, the rows are copied to each after the join
+            asked = more.groupBy(*of_value).agg(F.max("_cnt").alias("_cnt"), F.max("_n").alias("_n"), F.collect_list(F.struct("which", "_place")).alias("_w"))
+            now = lookup_join(rows_now, asked.drop("_cnt"), of_value, hot_values(asked, "_hash", "_cnt"), F.struct(*row))
+            now = now.select("*", F.explode("_w").alias("_p")).select("*", "_p.*").drop("_w", "_p")
+        else:
+            now = lookup_join(rows_now, more.select(*of_value, "_n", "_place"), of_value, hot_values(more, "_hash", "_cnt"), F.struct(*row))
         before, left = left, scratch.write(now.drop("_hash", name), f"rows{k}")
         scratch.drop(before)
     raise AssertionError("unreachable")

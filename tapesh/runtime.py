@@ -5,13 +5,16 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: A key is hot from this share of the rows on, so there are at most 1 / HOT_SHARE hot keys.
 HOT_SHARE = 1 / 512
-#: Slices into which the rows of a hot key are dealt.
+#: Rows of a hot key that a task takes; a key is dealt to as many slices as that makes, SLICES at least.
+SLICE_ROWS = 2_000_000
 SLICES = 48
 #: A side of at most this many rows is broadcast.
 BROADCAST_ROWS = 20_000
@@ -76,17 +79,22 @@ def scratch_dir(spark: SparkSession) -> str:
     return _own_dir
 
 
+#: Sessions and folders of all scratch tables there are, in the order made.
+_roots: list[tuple[SparkSession, str]] = []
+
+
 class Scratch:
     """Tables written to the shared folder: each cuts the lineage and outlives a lost executor.
 
-    A table is deleted by drop(), or when the driver ends.
+    A table is deleted by drop(), at the end of the scratch_scope() that it was
+    made in, or when the driver ends.
     """
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         self.root = f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
         self.count = 0
-        atexit.register(self._delete, self.root)
+        _roots.append((spark, self.root))
 
     def write(self, df: DataFrame, name: str = "t") -> DataFrame:
         self.count += 1
@@ -99,15 +107,33 @@ class Scratch:
     def drop(self, *tables: DataFrame) -> None:
         for table in tables:
             if path := getattr(table, "_scratch_path", None):
-                self._delete(path)
+                _delete(self.spark, path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    try:
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+    except Exception:  # the session may have ended before the driver
+        pass
+
+
+def _delete_from(place: int) -> None:
+    while len(_roots) > place:
+        _delete(*_roots.pop())
 
-    def _delete(self, path: str) -> None:
-        try:
-            jvm = self.spark._jvm
-            at = jvm.org.apache.hadoop.fs.Path(path)
-            at.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(at, True)
-        except Exception:  # the session may have ended before the driver
-            pass
+
+atexit.register(_delete_from, 0)
+
+
+@contextmanager
+def scratch_scope() -> Iterator[None]:
+    """Deletes the scratch tables made within, at its end: for jobs whose results are written by then, such as a batch of a stream."""
+    place = len(_roots)
+    try:
+        yield
+    finally:
+        _delete_from(place)
 
 
 def rows_up_to(df: DataFrame, most: int) -> int:
@@ -124,6 +150,12 @@ def small(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
 HOT_ROWS = 50_000
 
 
+class HotKeys(list):
+    """Hot keys, with the slices that their rows are dealt to."""
+
+    slices = SLICES
+
+
 def hot_values(counts: DataFrame, key: str, n: str, share: float = HOT_SHARE, least: int | None = None, rows: int | None = None) -> list:
     """Keys that hold at least share of all rows counted (and so many rows): at most 1 / share values.
 
@@ -136,7 +168,9 @@ def hot_values(counts: DataFrame, key: str, n: str, share: float = HOT_SHARE, le
     total, most = counts.agg(F.sum(n), F.max(n)).first()
     if not total or most < max(least, total * share):
         return []
-    return [r[0] for r in counts.where(F.col(n) >= max(least, total * share)).select(key).collect()]
+    found = HotKeys(r[0] for r in counts.where(F.col(n) >= max(least, total * share)).select(key).collect())
+    found.slices = max(SLICES, -(-most // SLICE_ROWS))
+    return found
 
 
 def lookup_join(
@@ -146,7 +180,6 @@ def lookup_join(
     hot: list | None = None,
     spread: Column | None = None,
     how: str = "inner",
-    slices: int = SLICES,
 ) -> DataFrame:
     """rows joined with lookup, which has one row a key; rows of hot keys are dealt to slices.
 
@@ -154,6 +187,7 @@ def lookup_join(
     """
     if not hot:
         return rows.join(lookup, keys, how)
+    slices = getattr(hot, "slices", SLICES)
     is_hot = F.coalesce(F.col(keys[0]).isin(list(hot)), F.lit(False))
     dealt = rows.withColumn("_slice", F.when(is_hot, F.pmod(F.xxhash64(spread), F.lit(slices))).otherwise(F.lit(0).cast("long")))
     copies = F.when(is_hot, F.sequence(F.lit(0).cast("long"), F.lit(slices - 1).cast("long"))).otherwise(F.array(F.lit(0).cast("long")))

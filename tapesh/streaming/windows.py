@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tapesh.models.interfaces import classify, rule_classifier
+from tapesh.runtime import scratch_scope
 
 
 def read_stream(spark: SparkSession, path: str, schema, files_per_trigger: int = 100) -> DataFrame:
@@ -41,4 +42,9 @@ def first_seen(stream: DataFrame, key: str, ts: str, late: str = "1 day") -> Dat
 
 def run_batches(stream: DataFrame, work: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
     """work on each micro-batch, until what is there is done; a batch that failed comes again with its number."""
-    return stream.writeStream.foreachBatch(work).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+    def batch(df: DataFrame, number: int) -> None:
+        with scratch_scope():  # what a batch writes for itself goes with it
+            work(df, number)
+
+    return stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
