@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tapesh.config import EngineConfig
@@ -75,6 +77,7 @@ def event_records(predicted: DataFrame) -> DataFrame:
 
 
 # ---- reports
+# The labels of the reports below, which are read again by read_report() and by people.
 
 
 def classification_report(kept: DataFrame, counts: DataFrame) -> DataFrame:
@@ -88,6 +91,26 @@ def classification_report(kept: DataFrame, counts: DataFrame) -> DataFrame:
     return heads.unionByName(kept.select("day", "no", line.alias("value"))).unionByName(ends)
 
 
+def clustering_report(members: DataFrame) -> DataFrame:
+    """A line a row (day, cluster, no, value): phase-two blocks of clusters of at least two messages.
+
+    members: day, cluster, msg_id, ts, text. Clusters are numbered within
+    their day by their smallest message; a day without any has its head.
+    """
+    sizes = members.groupBy("day", "cluster").agg(F.count(F.lit(1)).alias("n"), F.min("msg_id").alias("first"))
+    large = sizes.where("n > 1").withColumn("no", F.row_number().over(Window.partitionBy("day").orderBy("first")))
+    days = members.select("day").distinct().join(large.groupBy("day").agg(F.count(F.lit(1)).alias("k")), "day", "left")
+    head = F.concat(F.lit("Date (Jalali): "), J.format_jalali(J.to_jalali(F.col("day"))), F.lit(" | (Gregorian): "), F.col("day").cast("string"))
+    found = F.concat(F.lit("\nClusters found (with more than 1 message): "), F.coalesce("k", F.lit(0)).cast("string"), F.lit("\n" + "-" * 70))
+    zero, last = F.lit(0).cast("long"), F.lit((1 << 63) - 1)
+    heads = days.select("day", F.lit(0).alias("cluster"), zero.alias("no"), F.concat(head, found).alias("value"))
+    titles = large.select("day", F.col("no").alias("cluster"), F.lit(-(1 << 63)).alias("no"), F.concat(F.lit("\n Cluster #"), F.col("no").cast("string"), F.lit(" ("), F.col("n").cast("string"), F.lit(" message(s)):")).alias("value"))
+    line = F.concat(F.lit("    - ["), F.date_format("ts", "HH:mm:ss"), F.lit("] "), F.col("text"))
+    lines = members.join(large.select("day", "cluster", F.col("no").alias("_no")), ["day", "cluster"]).select("day", F.col("_no").alias("cluster"), F.col("msg_id").alias("no"), line.alias("value"))
+    ends = days.select("day", F.lit(2_000_000_000).alias("cluster"), last.alias("no"), F.lit("\n" + "=" * 70 + "\n").alias("value"))
+    return heads.unionByName(titles).unionByName(lines).unionByName(ends)
+
+
 def candidate_report(candidates: DataFrame, most: int = 10) -> DataFrame:
     """cluster_id, value: phase-three blocks."""
     more = F.size("messages") - most
@@ -108,6 +131,11 @@ def verified_report(events: DataFrame, most: int = 10) -> DataFrame:
 # ---- writing
 
 
+def combined(*days: DataFrame) -> DataFrame:
+    """The rows of all frames, columns by name; what a frame lacks is null."""
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), days)
+
+
 def append(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import os
 import re
 from dataclasses import dataclass
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 from tapesh.config import EngineConfig
 from tapesh.functions import jalali as J
 from tapesh.functions import text as T
+from tapesh.operators.keycluster import global_number
 
 _SHAPE = re.compile(r"\d{4}-\d{2}-\d{2}")
 
@@ -48,22 +50,63 @@ def jalali_range(df: DataFrame, date: str, start: str | None, end: str | None) -
     return _between(df, F.col(date), start and F.lit(check_jalali(start)), end and F.lit(check_jalali(end)))
 
 
+#: Rows fetched at once, and parts read where no key is given.
+FETCH_ROWS, DAYS_AT_MOST = 10_000, 5_000
+
+
+def day_predicates(date: str, start: str | None, end: str | None) -> list[str]:
+    """A condition for each day of start <= day < end, so that each is read by a task of its own; nothing for an open range."""
+    if not start or not end:
+        return []
+    first, last = dt.date.fromisoformat(start), dt.date.fromisoformat(end)
+    days = [first + dt.timedelta(days=k) for k in range((last - first).days)]
+    if len(days) > DAYS_AT_MOST:
+        raise ValueError(f"more than {DAYS_AT_MOST} days")
+    return [f"{date} >= '{a}' AND {date} < '{a + dt.timedelta(days=1)}'" for a in days]
+
+
 @dataclass(frozen=True)
 class MessageSource:
-    """A table of messages, at a Parquet path or behind JDBC."""
+    """A table of messages, at a Parquet path or behind JDBC.
+
+    Behind JDBC the table is read in parts: by ranges of a numeric or date
+    key, given as (column, lowest, highest, parts), else by the days asked
+    for. A range of Jalali days and an open range without a key are read by
+    one task.
+    """
 
     spark: SparkSession
     table: str
     cfg: EngineConfig = EngineConfig()
     kind: str = "parquet"
+    key: tuple[str, str, str, int] | None = None
+
+    def read_options(self, start: str | None = None, end: str | None = None) -> tuple[dict[str, str], list[str]]:
+        """Options of the JDBC reader, and the conditions of its parts if these are days."""
+        options = {"dbtable": self.table, "fetchsize": str(FETCH_ROWS)}
+        if self.key:
+            column, low, high, parts = self.key
+            return options | {"partitionColumn": column, "lowerBound": str(low), "upperBound": str(high), "numPartitions": str(parts)}, []
+        return options, [] if self.cfg.is_twitter else day_predicates(self.cfg.date, start, end)
 
-    def scan(self) -> DataFrame:
+    def scan(self, start: str | None = None, end: str | None = None) -> DataFrame:
         if self.kind == "parquet":
             return self.spark.read.parquet(self.table)
-        return self.spark.read.format("jdbc").options(**jdbc_options(), dbtable=self.table).load()
+        options, days = self.read_options(start, end)
+        options |= jdbc_options()
+        if days:
+            url = options.pop("url")
+            return self.spark.read.jdbc(url, options.pop("dbtable"), predicates=days, properties=options)
+        return self.spark.read.format("jdbc").options(**options).load()
 
     def load(self, start: str | None = None, end: str | None = None) -> DataFrame:
-        return prepare(self.scan(), self.cfg, start, end)
+        return prepare(self.scan(start, end), self.cfg, start, end)
+
+
+def in_order(df: DataFrame, *by: str, out: str = "row_no") -> DataFrame:
+    """df with out, the place of each row by date and id from 0, the same however the table is read; rows equal in all of by are in any order."""
+    numbered = global_number(df, list(by), out)
+    return numbered.withColumn(out, F.col(out) - 1)
 
 
 def prepare(df: DataFrame, cfg: EngineConfig, start: str | None = None, end: str | None = None) -> DataFrame:
