@@ -20,7 +20,7 @@ from tapesh.operators import candidates as C
 from tapesh.operators import graph as G
 from tapesh.operators import keycluster as K
 from tapesh.plans import pipelines as P
-from tapesh.runtime import read
+from tapesh.runtime import Scratch, read
 from tapesh.sinks import writers as W
 from tapesh.sources import messages as S
 
@@ -67,7 +67,16 @@ def epsilon_member(m: DataFrame) -> DataFrame:
 
 
 # Parts of the SQL
-_B = T.BLANKS
+# Fixed values, written here anew, so that the SQL does not repeat a slip of the library: blanks, words, links, emoji, stop words.
+_BLANK = r"[\x09-\x0d\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+_OTHER = r"[^\x09-\x0d\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+_LINK = rf"https?://{_OTHER}+|www\.{_OTHER}+"
+_LONG_LINK = rf"{_LINK}|t\.me/{_OTHER}+|twitter\.com/{_OTHER}+|x\.com/{_OTHER}+"
+_PICTURE = r"(?:[\x{1f1e6}-\x{1f1ff}\x{1f300}-\x{1faff}\x{2300}-\x{23ff}\x{2600}-\x{27bf}\x{2b05}-\x{2b55}\x{fe0f}\x{20e3}]\x{200d}?)+"
+_SIGN = r"[^\p{L}\p{N}_\x09-\x0d\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}\x{0622}-\x{06cc}]"
+_STOPS = ", ".join(
+    f"'{w}'" for w in "و در به از که این آن برای با را می است شد شود کرد کرده ها های یک تا اما اگر یا هم بر نه دیگر روی پس قبل بعد هر چه چرا چطور".split()
+)
 VM = """vm AS (SELECT DATE '2024-01-01' + v.label::INTEGER AS day, v.vec_id AS msg_id, d.text, d.posted_at AS ts, v.embedding::DOUBLE[] AS vec
   FROM embeddings v JOIN documents d ON d.doc_id = v.vec_id)"""
 EDGES = f"""{VM}, e AS (SELECT a.day, a.msg_id AS src, b.msg_id AS dst, list_cosine_similarity(a.vec, b.vec) AS w FROM vm a JOIN vm b
@@ -87,19 +96,16 @@ LABEL = f"{VM}, one AS (SELECT day, msg_id, 1::BIGINT AS cluster FROM vm), {CENT
 
 def _norm(c: str) -> str:
     out = f"translate({c}, 'يك', 'یک')"
-    for p in (T.URL, f"[@#]{T.NS}+", T.NOT_WORD):
+    for p in (_LINK, f"[@#]{_OTHER}+", _SIGN):
         out = f"regexp_replace({out}, '{p}', ' ', 'g')"
-    return f"trim(regexp_replace({out}, '{T.S}+', ' ', 'g'))"
+    return f"trim(regexp_replace({out}, '{_BLANK}+', ' ', 'g'))"
 
 
 def _clean(c: str) -> str:
     out = c
-    for p, by in ((T.URL, ""), (f"@{T.NS}+", ""), (f"#{T.NS}+", ""), (T.EMOJI, ""), (r"\x{200c}", " ")):
+    for p, by in ((_LINK, ""), (f"@{_OTHER}+", ""), (f"#{_OTHER}+", ""), (_PICTURE, ""), (r"\x{200c}", " ")):
         out = f"regexp_replace({out}, '{p}', '{by}', 'g')"
-    return f"coalesce(trim(regexp_replace({out}, '{T.S}+', ' ', 'g')), '')"
-
-
-_STOPS = ", ".join(f"'{w}'" for w in T.STOP_WORDS)
+    return f"coalesce(trim(regexp_replace({out}, '{_BLANK}+', ' ', 'g')), '')"
 
 
 def _tokens(norm: str) -> str:
@@ -111,7 +117,7 @@ def _pairs(words: str) -> str:
 
 
 def _strip(c: str) -> str:
-    return f"regexp_replace({c}, '^{T.S}+|{T.S}+$', '', 'g')"
+    return f"regexp_replace({c}, '^{_BLANK}+|{_BLANK}+$', '', 'g')"
 
 
 def _set(c: str) -> str:
@@ -189,8 +195,8 @@ def normalize_text(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(
-    f"""SELECT tweet_id, trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(txtContent, '{T.LONG_URL}', ' ', 'g'), '@{T.W}+', ' ', 'g'),
-  '[\\x{{10000}}-\\x{{10ffff}}]', '', 'g'), '{T.S}+', ' ', 'g')) AS message FROM (SELECT DISTINCT tweet_id, txtContent FROM tweets_2)"""
+    f"""SELECT tweet_id, trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(txtContent, '{_LONG_LINK}', ' ', 'g'), '@[\\p{{L}}\\p{{N}}_]+', ' ', 'g'),
+  '[\\x{{10000}}-\\x{{10ffff}}]', '', 'g'), '{_BLANK}+', ' ', 'g')) AS message FROM (SELECT DISTINCT tweet_id, txtContent FROM tweets_2)"""
 )
 def clean_message(spark: SparkSession, d: str) -> DataFrame:
     rows = read(spark, d, "tweets_2").select("tweet_id", "txtContent").distinct()
@@ -225,7 +231,7 @@ def term_counts(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(
-    f"""WITH w AS (SELECT doc_id, list_filter(string_split(trim(regexp_replace(coalesce(text, ''), '{T.S}+', ' ', 'g')), ' '), lambda x: x <> '') AS w FROM documents),
+    f"""WITH w AS (SELECT doc_id, list_filter(string_split(trim(regexp_replace(coalesce(text, ''), '{_BLANK}+', ' ', 'g')), ' '), lambda x: x <> '') AS w FROM documents),
 c AS (SELECT doc_id, w, unnest(range(0, greatest(len(w), 1), 200)) AS k FROM w)
 SELECT doc_id, k // 200 + 1 AS chunk_no, CASE WHEN len(w) = 0 THEN ' ' ELSE array_to_string(w[k + 1 : k + 200], ' ') END AS chunk FROM c"""
 )
@@ -234,7 +240,7 @@ def word_chunks(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("doc_id", (F.col("p") + 1).cast("long").alias("chunk_no"), "chunk")
 
 
-@query(f"SELECT post_id, translate(txtContent, '{T.PERSIAN_DIGITS}{T.ARABIC_DIGITS}', '01234567890123456789') AS ascii FROM posts")
+@query("SELECT post_id, translate(txtContent, '۰۱۲۳۴۵۶۷۸۹٠١٢٣٤٥٦٧٨٩', '01234567890123456789') AS ascii FROM posts")
 def digits_to_ascii(spark: SparkSession, d: str) -> DataFrame:
     return posts(spark, d).select("post_id", T.digits_to_ascii(F.col("txtContent")).alias("ascii"))
 
@@ -303,6 +309,47 @@ def temporal_relative(spark: SparkSession, d: str) -> DataFrame:
     return temporal.future_dates(rows, "txtContent", "at").select("post_id", "jalali_date", "future_date")
 
 
+_FA_DAYS = ("شنبه", "یکشنبه", "دوشنبه", "سه شنبه", "چهارشنبه", "پنجشنبه", "جمعه")
+_FA_MONTHS = ("فروردین", "اردیبهشت", "خرداد", "تیر", "مرداد", "شهریور", "مهر", "آبان", "آذر", "دی", "بهمن", "اسفند")
+
+
+def _list(words: tuple[str, ...]) -> str:
+    return "[" + ", ".join(f"'{w}'" for w in words) + "]"
+
+
+_MOVED = "CASE WHEN {m} <= 6 THEN 31 WHEN {m} <= 11 THEN 30 WHEN {y} % 33 IN (1, 5, 9, 13, 17, 22, 26, 30) THEN 30 ELSE 29 END"
+_RULES = f"""q AS (SELECT post_id, post_id % 18 AS r, post_id // 18 % 29 + 1 AS n, post_id // 18 % 12 + 1 AS m, post_id // 18 % 7 AS k,
+  date_diff('day', DATE '1970-01-01', ingested_at::DATE) AS a FROM posts WHERE ingested_at IS NOT NULL),
+p AS (SELECT *, (a + 5) % 7 AS wd, {_jalali('(a + 135061)')} AS j FROM q),
+t AS (SELECT *, j.y + (j.m + 1) // 12 AS y2, (j.m + 1) % 12 + 1 AS m2, j.y + 3 + (j.m + 5) // 12 AS y3, (j.m + 5) % 12 + 1 AS m3,
+  least(j.d, {_MOVED.format(m='j.m', y='(j.y + 3)')}) AS d3 FROM p)"""
+_SAID = f"""CASE r WHEN 0 THEN n || ' روز دیگر' WHEN 1 THEN n || ' هفته بعد' WHEN 2 THEN n || ' روز پیش' WHEN 3 THEN 'فردا می‌آییم' WHEN 4 THEN 'تا پس فردا صبر کنید'
+  WHEN 5 THEN {_list(_FA_DAYS)}[k + 1] || ' آینده' WHEN 6 THEN {_list(_FA_DAYS)}[k + 1] || ' هفته آینده' WHEN 7 THEN 'روز ' || {_list(_FA_DAYS)}[k + 1] || ' می‌آییم'
+  WHEN 8 THEN 'هفته آینده' WHEN 9 THEN 'روزهای آینده' WHEN 10 THEN 'از امروز تا فردا' WHEN 11 THEN 'آخر هفته' WHEN 12 THEN n || '/' || m
+  WHEN 13 THEN 'در ' || n || ' ' || {_list(_FA_MONTHS)}[m] || ' ماه' WHEN 14 THEN 'اواخر ' || {_list(_FA_MONTHS)}[m] WHEN 15 THEN 'دو ماه دیگر'
+  WHEN 16 THEN '3 سال و نیم بعد' ELSE 'بیست و یکم ' || {_list(_FA_MONTHS)}[m] END"""
+
+
+@query(
+    f"""WITH {_RULES} SELECT post_id, CASE r WHEN 0 THEN a + n WHEN 1 THEN a + 7 * n WHEN 2 THEN a - n WHEN 3 THEN a + 1 WHEN 4 THEN a + 2
+  WHEN 5 THEN a + k - wd + CASE WHEN k <= wd THEN 7 ELSE 0 END WHEN 6 THEN a + k - wd + CASE WHEN k <= wd THEN 14 ELSE 7 END WHEN 7 THEN a + k - wd
+  WHEN 8 THEN a + 7 WHEN 9 THEN a + 2 WHEN 10 THEN a + 1 WHEN 11 THEN a + (12 - wd) % 7 + 1 WHEN 12 THEN {_jday('j.y', 'm', 'n')} WHEN 13 THEN {_jday('j.y', 'm', 'n')}
+  WHEN 14 THEN {_jday('j.y', 'm', '25')} WHEN 15 THEN {_jday('y2', 'm2', f"least(j.d, {_MOVED.format(m='m2', y='y2')})")}
+  WHEN 16 THEN {_jday('y3', 'm3', f"least(d3, {_MOVED.format(m='m3', y='y3')})")} ELSE {_jday('j.y', 'm', '21')} END AS day,
+  CASE r WHEN 3 THEN 'relative_word' WHEN 4 THEN 'relative_word' WHEN 10 THEN 'relative_word' WHEN 11 THEN 'relative_word' WHEN 7 THEN 'bare_weekday' WHEN 8 THEN 'relative_simple'
+  WHEN 9 THEN 'relative_simple' WHEN 12 THEN 'exact_short' WHEN 13 THEN 'exact_full' WHEN 14 THEN 'exact_approx' WHEN 17 THEN 'exact_full' ELSE 'relative_complex' END AS kind FROM t"""
+)
+def temporal_rules(spark: SparkSession, d: str) -> DataFrame:
+    """Every rule of the grammar, on sentences made from the numbers of each post."""
+    said = (
+        _SAID.replace("//", "DIV").replace("'آخر", "'آخر").replace(_list(_FA_DAYS), "array" + _list(_FA_DAYS).replace("[", "(").replace("]", ")"))
+        .replace(_list(_FA_MONTHS), "array" + _list(_FA_MONTHS).replace("[", "(").replace("]", ")")).replace("[k + 1]", "[k]").replace("[m]", "[m - 1]")
+    )
+    rows = posts(spark, d).where(F.col("ingested_at").isNotNull()).selectExpr("post_id", "post_id % 18 AS r", "post_id div 18 % 29 + 1 AS n", "cast(post_id div 18 % 12 + 1 AS int) AS m", "cast(post_id div 18 % 7 AS int) AS k", "to_date(ingested_at) AS at")
+    hit = temporal.temporal_day(F.expr(said), J.epoch_day(F.col("at")))
+    return rows.withColumn("h", hit).select("post_id", F.col("h.day").cast("long").alias("day"), "h.kind")
+
+
 # ---- vectors and candidates
 
 
@@ -372,10 +419,10 @@ def iqr_fence(spark: SparkSession, d: str) -> DataFrame:
 SELECT day, cluster_id, n, round(100.0 * n / total, 6) AS ratio FROM t WHERE cluster_id IS NOT NULL"""
 )
 def daily_ratio(spark: SparkSession, d: str) -> DataFrame:
-    rows = posts(spark, d).select(F.to_date("ingested_at").alias("day"), "cluster_id").groupBy("day", "cluster_id").agg(F.count(F.lit(1)).alias("n"))
-    per_day = rows.groupBy("day").agg(F.sum("n").alias("total"))
-    out = rows.where(F.col("cluster_id").isNotNull()).join(per_day, "day")
-    return out.select("day", "cluster_id", "n", F.round(100.0 * F.col("n") / F.col("total"), 6).alias("ratio"))
+    rows = posts(spark, d).select(F.to_date("ingested_at").alias("day"), "cluster_id")
+    clusters = rows.where(F.col("cluster_id").isNotNull()).groupBy("day", "cluster_id").agg(F.count(F.lit(1)).alias("n"))
+    out = C.with_ratio(clusters, rows.groupBy("day").agg(F.count(F.lit(1)).alias("day_n")))
+    return out.select("day", "cluster_id", "n", F.round("ratio", 6).alias("ratio"))
 
 
 @query(
@@ -437,6 +484,30 @@ def leiden(spark: SparkSession, d: str) -> DataFrame:
     return G.communities(G.similarity_edges(m, "day", "msg_id", "vec", FIXTURE.similarity), "day")
 
 
+@query(
+    f"""WITH {EDGES}, s AS (SELECT day, sum(w) AS m, sum(CASE WHEN src % 3 = dst % 3 THEN w ELSE 0 END) AS inside FROM e GROUP BY day),
+g AS (SELECT day, c, sum(w) AS d FROM (SELECT day, src % 3 AS c, w FROM e UNION ALL SELECT day, dst % 3, w FROM e) GROUP BY ALL)
+SELECT s.day, round(inside / m - q / (4 * m * m), 6) AS modularity FROM s JOIN (SELECT day, sum(d * d) AS q FROM g GROUP BY day) g ON g.day = s.day"""
+)
+def modularity(spark: SparkSession, d: str) -> DataFrame:
+    """Of the partition by the remainder of the id."""
+    m = vec_messages(spark, d)
+    edges = G.similarity_edges(m, "day", "msg_id", "vec", FIXTURE.similarity)
+    member = m.select("day", F.col("msg_id").alias("node"), (F.col("msg_id") % 3).alias("community"))
+    return G.modularity(edges, member, "day").select("day", F.round("modularity", 6).alias("modularity"))
+
+
+@query(f"WITH {EDGES}, n AS (SELECT day, src AS node FROM e UNION SELECT day, dst FROM e) SELECT day, count(*) AS n_nodes, true AS no_worse FROM n GROUP BY day")
+def leiden_quality(spark: SparkSession, d: str) -> DataFrame:
+    """Every node is in one community, and the modularity is at least that of whole components."""
+    edges = Scratch(spark, "quality").write(G.similarity_edges(vec_messages(spark, d), "day", "msg_id", "vec", FIXTURE.similarity))
+    found = Scratch(spark, "quality").write(G.communities(edges, "day"))
+    comps = found.join(G.connected_components(edges), "node").select("day", "node", F.col("component").alias("community"))
+    both = G.modularity(edges, found, "day").join(G.modularity(edges, comps, "day").withColumnRenamed("modularity", "plain"), "day")
+    nodes = found.groupBy("day").agg(F.count("node").alias("n_nodes"))
+    return both.join(nodes, "day").select("day", "n_nodes", (F.col("modularity") >= F.col("plain") - 1e-9).alias("no_worse"))
+
+
 # ---- key clusters
 
 _ROWS = f"""rw AS (SELECT * FROM (SELECT post_id AS row_id, future_date, {_set('location_entities')} AS ls, {_set('event_entities')} AS es FROM posts
@@ -625,7 +696,23 @@ def predicted_event_rows(spark: SparkSession, d: str) -> DataFrame:
 @query("SELECT day, src, count(*) AS n FROM (SELECT ingested_at::DATE AS day, 'posts' AS src FROM posts UNION ALL SELECT ingested_at::DATE, 'tweets_2' FROM tweets_2) GROUP BY ALL")
 def all_days_union(spark: SparkSession, d: str) -> DataFrame:
     part = lambda t: read(spark, d, t).select(F.to_date("ingested_at").alias("day"), F.lit(t).alias("src"))
-    return part("posts").unionByName(part("tweets_2")).groupBy("day", "src").agg(F.count(F.lit(1)).alias("n"))
+    return W.combined(part("posts"), part("tweets_2")).groupBy("day", "src").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("SELECT post_id, row_number() OVER (ORDER BY ingested_at, post_id) - 1 AS row_no FROM posts")
+def stable_order(spark: SparkSession, d: str) -> DataFrame:
+    return S.in_order(posts(spark, d).select("ingested_at", "post_id"), "ingested_at", "post_id").select("post_id", "row_no")
+
+
+@query(
+    f"""WITH c AS (SELECT posted_at::DATE AS day, text IS NOT NULL AND length({_clean('text')}) > 2 AS ok FROM documents)
+SELECT count(DISTINCT day) + max(CASE WHEN day IS NULL THEN 1 ELSE 0 END) AS days, count(*) AS raw, count_if(ok) AS kept, count_if(NOT ok) AS filtered, (SELECT count(*) FROM candidate_clusters) AS candidates,
+  (SELECT count(*) FROM detected_events) AS verified FROM c"""
+)
+def run_totals(spark: SparkSession, d: str) -> DataFrame:
+    docs = read(spark, d, "documents").select(F.col("doc_id").alias("msg_id"), "text", F.col("posted_at").alias("ts"))
+    counts = P.daily_counts(M.classify(docs, "text", lambda c: F.lit(1)))
+    return P.run_totals(counts, read(spark, d, "candidate_clusters"), read(spark, d, "detected_events"))
 
 
 @query()
@@ -638,4 +725,6 @@ def detection_pipeline(spark: SparkSession, d: str) -> DataFrame:
 @query()
 def prediction_pipeline(spark: SparkSession, d: str) -> DataFrame:
     rows = posts(spark, d).select(F.col("post_id").alias("msg_id"), F.col("txtContent").alias("text"), F.col("ingested_at").alias("ts"), "location_entities", "event_entities")
-    return P.predict(rows, EngineConfig().but(verify_above=2))["predicted_rows"].drop("execution_time", "created_at")
+    cfg = EngineConfig().but(verify_above=1, medoid_noise=0.0, medoid_duplicate=1.0)
+    models = P.Models(generator=M.rule_generator(2))
+    return P.predict(rows, cfg, models)["predicted_rows"].drop("execution_time", "created_at")

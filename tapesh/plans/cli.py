@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tapesh.config import EngineConfig
 from tapesh.plans.pipelines import detect, predict
+from tapesh.runtime import Scratch, scratch_scope
 from tapesh.sinks import writers as W
 from tapesh.sources.messages import MessageSource
 
@@ -45,12 +46,15 @@ def main(argv: list[str] | None = None) -> None:
     spark = SparkSession.builder.appName("tapesh").config("spark.sql.session.timeZone", "UTC").getOrCreate()
     rows = MessageSource(spark, a.table, cfg, a.kind).load(a.start_date, a.end_date)
     key = next((c for c in ("msg_id", "post_id", "tweet_id", "doc_id") if c in rows.columns), None)
-    ids = F.col(key) if key else F.xxhash64(cfg.text, "date")
     more = [c for c in ("location_entities", "event_entities") if c in rows.columns]
-    rows = rows.select(ids.alias("msg_id"), F.col(cfg.text).alias("text"), F.col("date").alias("ts"), *more)
-    done = (detect if a.pipeline == "detect" else predict)(rows, cfg)
-    for name, df in done.items():
-        W.append(df, f"{a.out}/{name}")
+    with scratch_scope():
+        ids = F.col(key) if key else F.monotonically_increasing_id()
+        rows = rows.select(ids.alias("msg_id"), F.col(cfg.text).alias("text"), F.col("date").alias("ts"), *more)
+        if not key:  # written, so that a message keeps the number it was given
+            rows = Scratch(spark, "messages").write(rows)
+        done = (detect if a.pipeline == "detect" else predict)(rows, cfg)
+        for name, df in done.items():
+            W.append(df, f"{a.out}/{name}")
 
 
 if __name__ == "__main__":

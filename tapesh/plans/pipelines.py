@@ -42,6 +42,24 @@ def daily_counts(classified: DataFrame) -> DataFrame:
     return classified.groupBy(day).agg(F.count(F.lit(1)).alias("raw_count"), F.count_if("passed_filter").alias("kept_count"))
 
 
+def run_totals(counts: DataFrame, candidates: DataFrame | None = None, verified: DataFrame | None = None) -> DataFrame:
+    """One row of a run: days, raw, kept and filtered messages, candidates and verified events (null where a stage did not run)."""
+    of = lambda df, out: df.agg(F.count(F.lit(1)).alias(out)) if df is not None else None
+    raw, kept = F.coalesce(F.sum("raw_count"), F.lit(0)), F.coalesce(F.sum("kept_count"), F.lit(0))
+    out = counts.agg(F.count(F.lit(1)).alias("days"), raw.alias("raw"), kept.alias("kept"), (raw - kept).alias("filtered"))
+    for df, name in ((of(candidates, "candidates"), "candidates"), (of(verified, "verified"), "verified")):
+        out = out.crossJoin(F.broadcast(df)) if df is not None else out.withColumn(name, F.lit(None).cast("long"))  # one row each
+    return out
+
+
+def until_aborted(replies: DataFrame, candidates: DataFrame, day: str, cfg: EngineConfig) -> DataFrame:
+    """Replies up to the run of cfg.abort_after unreadable ones in a row that ends a day; 0 keeps all."""
+    if not cfg.abort_after:
+        return replies
+    at = replies.join(candidates.select("cluster_id", F.col(day).alias("_day")), "cluster_id")
+    return M.abort_run(at, "_day", "cluster_id", cfg.abort_after).drop("_day")
+
+
 def detect(messages: DataFrame, cfg: EngineConfig, models: Models | None = None, execution_time: Column | None = None) -> dict[str, DataFrame]:
     """messages: msg_id, text, ts. Returns the tables of every stage by name."""
     models = models or Models()
@@ -55,10 +73,12 @@ def detect(messages: DataFrame, cfg: EngineConfig, models: Models | None = None,
     member = scratch.write(found.select("day", F.col("node").alias("msg_id"), F.col("community").alias("cluster")), "member")
     cands = scratch.write(C.candidates(embedded, member, cfg), "candidates")
     rows = W.candidate_rows(cands, now, cfg)
-    out = {"counts": daily_counts(classified), "communities": member, "candidates": cands, "candidate_rows": rows}
+    counts = daily_counts(classified)
+    out = {"counts": counts, "communities": member, "candidates": cands, "candidate_rows": rows, "totals": run_totals(counts, cands)}
     if cfg.skip_verification:
         return out
     replies = scratch.write(M.verify(cands, "cluster_id", "messages", cfg, models.generator, models.instruction), "replies")
+    replies = until_aborted(replies, cands, "day", cfg)
     events = replies.where("is_event")
     confirmed = events.select(W.stable_id(F.col("cluster_id")).alias("id"))
     return out | {
@@ -66,6 +86,7 @@ def detect(messages: DataFrame, cfg: EngineConfig, models: Models | None = None,
         "verified": cands.join(events.select("cluster_id", "title", "summary", "confidence"), "cluster_id"),
         "event_rows": W.event_rows(events, cands, now, cfg),
         "candidate_rows": W.update_status(rows, confirmed),
+        "totals": run_totals(counts, cands, events),
     }
 
 
@@ -86,10 +107,14 @@ def predict(messages: DataFrame, cfg: EngineConfig, models: Models | None = None
     cleaned = scratch.write(K.denoise(embedded, cfg), "denoised")
     merged = scratch.write(K.merge_by_medoid(cleaned, cfg), "merged")
     cands = scratch.write(K.verify_candidates(merged, cfg), "candidates")
-    out = {"dated": dated, "clustered": embedded.drop("vec"), "cleaned": merged.drop("vec"), "candidates": cands}
+    day = F.to_date("ts").alias("day")
+    raw = messages.groupBy(day).agg(F.count(F.lit(1)).alias("raw_count"))
+    counts = raw.join(dated.groupBy(day).agg(F.count(F.lit(1)).alias("kept_count")), "day", "left").na.fill(0, ["kept_count"])
+    out = {"dated": dated, "clustered": embedded.drop("vec"), "cleaned": merged.drop("vec"), "candidates": cands, "totals": run_totals(counts, cands)}
     if cfg.skip_verification:
         return out
     replies = scratch.write(M.verify(cands, "cluster_id", "messages", cfg, models.generator, models.instruction), "replies")
+    replies = until_aborted(replies, cands, "predicted_time", cfg)
     events = cands.join(replies.where("is_event").select("cluster_id", "title", "summary"), "cluster_id")
     rows = W.predicted_rows(events, now, now, cfg)
-    return out | {"replies": replies, "verified": events, "predicted_rows": rows}
+    return out | {"replies": replies, "verified": events, "predicted_rows": rows, "totals": run_totals(counts, cands, events)}

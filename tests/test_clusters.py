@@ -110,3 +110,12 @@ def test_pipeline_keywords_and_candidates(spark):
     assert [x["cluster_id"] for x in c] == ["CL_20240101_1"]
     assert c[0]["size"] == 3 and c[0]["keywords"][:1] == ["خبر"] and c[0]["date_shamsi"] == "1402/10/11"
     assert c[0]["messages"] == ["خبر مهم شهر", "خبر مهم امروز", "خبر مهم دیگری"] and c[0]["daily_ratio_pct"] == 75.0
+
+
+def test_first_of_a_list(spark):
+    values = ["['Tehran', 'Qom']", '["Qom"]', "[]", "[ ]", " Rey ", "[3, 4]", "[no literal", "[bare, words]", None, "['it\\'s', 'x']", "['a, b', 'c']"]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v string")
+    got = {r["i"]: r["x"] for r in df.select("i", K.first_of_list(F.col("v")).alias("x")).collect()}
+    assert [got[i] for i in range(len(values))] == ["Tehran", "Qom", None, None, "Rey", "3", "[no literal", "[bare, words]", None, "it's", "a, b"]
+    rows = spark.createDataFrame([("c", "['Qom', 'x']"), ("c", "Qom"), ("c", "Rey"), ("d", "[]"), ("d", None)], "k string, v string")
+    assert [tuple(r) for r in K.most_common(rows, "k", "v", "mode", lists=True).collect()] == [("c", "Qom")]

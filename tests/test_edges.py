@@ -210,3 +210,68 @@ def test_streams(spark, tmp_path):
     q = hours.writeStream.outputMode("complete").format("memory").queryName("hour_counts_test").trigger(availableNow=True).start()
     q.awaitTermination(60)
     assert spark.table("hour_counts_test").agg(F.max("n")).first()[0] >= 12
+
+
+def test_jdbc_is_read_in_parts(spark):
+    src = S.MessageSource(spark, "db.messages", CFG, "jdbc")
+    options, days = src.read_options("2024-02-28", "2024-03-02")
+    assert days == ["date >= '2024-02-28' AND date < '2024-02-29'", "date >= '2024-02-29' AND date < '2024-03-01'", "date >= '2024-03-01' AND date < '2024-03-02'"]
+    assert int(options["fetchsize"]) > 0 and src.read_options("2024-02-28", None)[1] == []
+    keyed, days = S.MessageSource(spark, "db.messages", CFG, "jdbc", ("id", "1", "900", 12)).read_options("2024-02-28", "2024-03-02")
+    assert days == [] and (keyed["partitionColumn"], keyed["lowerBound"], keyed["upperBound"], keyed["numPartitions"]) == ("id", "1", "900", "12")
+    with pytest.raises(ValueError):
+        S.day_predicates("date", "1900-01-01", "2024-01-01")
+
+
+def test_rows_have_a_stable_order(spark):
+    rows = [(dt.datetime(2024, 1, 1 + i % 3), i) for i in range(50)] + [(None, 99)]
+    df = spark.createDataFrame(rows, "date timestamp_ntz, id int")
+    orders = [{r["id"]: r["row_no"] for r in S.in_order(x, "date", "id").collect()} for x in (df, df.repartition(7))]
+    want = {i: k for k, (_, i) in enumerate(sorted(rows, key=lambda r: (r[0] is not None, r[0] or dt.datetime.min, r[1])))}
+    assert orders[0] == orders[1] == want
+    assert S.in_order(df.limit(0), "date", "id").count() == 0
+
+
+def test_clustering_report(spark, tmp_path):
+    d1, d2 = dt.date(2024, 1, 1), dt.date(2024, 1, 2)
+    at = dt.datetime(2024, 1, 1, 9, 8, 7)
+    rows = [(d1, 5, 2, at, "b"), (d1, 5, 1, at, "a"), (d1, 9, 3, at, "alone"), (d2, 7, 4, at, "alone too")]
+    members = spark.createDataFrame(rows, "day date, cluster bigint, msg_id bigint, ts timestamp_ntz, text string")
+    W.report_text(W.clustering_report(members), str(tmp_path / "r"), "day", "cluster", "no")
+    text = "\n".join(r["value"] for r in spark.read.text(str(tmp_path / "r")).collect())
+    assert text.count("Clusters found (with more than 1 message): 1") == 1 and text.count("Clusters found (with more than 1 message): 0") == 1
+    assert " Cluster #1 (2 message(s)):\n    - [09:08:07] a\n    - [09:08:07] b" in text and "alone" not in text
+
+
+def test_frames_of_days_are_combined(spark):
+    a, b = spark.createDataFrame([(1, "x")], "i int, t string"), spark.createDataFrame([(2,)], "i int")
+    assert sorted(map(tuple, W.combined(a, b, b).collect())) == [(1, "x"), (2, None), (2, None)]
+
+
+def test_run_totals_and_aborted_days(spark):
+    counts = spark.createDataFrame([(dt.date(2024, 1, 1), 5, 2), (dt.date(2024, 1, 2), 1, 0)], "day date, raw_count int, kept_count int")
+    assert tuple(pipelines.run_totals(counts, counts, counts.limit(1)).first()) == (2, 6, 2, 4, 2, 1)
+    assert tuple(pipelines.run_totals(counts.limit(0)).first()) == (0, 0, 0, 0, None, None)
+    day = dt.date(2024, 1, 1)
+    cands = spark.createDataFrame([(day, f"c{i}") for i in range(9)], "day date, cluster_id string")
+    replies = spark.createDataFrame([(f"c{i}", i not in (2, 3, 4)) for i in range(9)], "cluster_id string, parsed boolean")
+    left = pipelines.until_aborted(replies, cands, "day", CFG.but(abort_after=3))
+    assert sorted(r["cluster_id"] for r in left.collect()) == ["c0", "c1", "c2", "c3", "c4"]
+    assert pipelines.until_aborted(replies, cands, "day", CFG.but(abort_after=0)).count() == 9
+
+
+def test_scratch_tables_end_with_their_scope(spark):
+    import os
+
+    from tapesh.runtime import HotKeys, Scratch, hot_values, lookup_join, scratch_scope
+
+    with scratch_scope():
+        scratch = Scratch(spark, "scope")
+        table = scratch.write(spark.range(5))
+        assert table.count() == 5
+    assert not os.path.exists(scratch.root.removeprefix("file:"))
+    counts = spark.createDataFrame([("a", 900), ("b", 1)], "k string, n bigint")
+    hot = hot_values(counts, "k", "n", least=10)
+    assert hot == ["a"] and hot.slices == HotKeys.slices
+    rows = spark.createDataFrame([("a", i) for i in range(30)] + [("b", 1)], "k string, i int")
+    assert lookup_join(rows, counts, ["k"], hot, F.col("i")).count() == 31
