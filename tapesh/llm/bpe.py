@@ -17,7 +17,7 @@ from __future__ import annotations
 import base64
 from collections.abc import Callable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -123,23 +123,33 @@ def encode_texts(df: DataFrame, text: str, out: str = "ids", path: str = VOCABUL
     """df with out, the array of ids of text."""
     ranks, df = _shared(df.sparkSession, path), spread(df)
 
-    @F.pandas_udf("array<int>")
-    def ids(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encode = encoder(ranks.value)
-        for s in batches:
-            yield pd.Series([None if t is None else encode(t) for t in s], dtype=object)
+        for batch in batches:
+            yield pa.array([None if t is None else encode(t) for t in batch.to_pylist()], pa.list_(pa.int32()))
 
-    return df.withColumn(out, ids(text))
+    return df.withColumn(out, F.arrow_udf(ids, "array<int>").asNondeterministic()(text))
+
+
+def decode_texts(df: DataFrame, ids: str, out: str = "text", path: str = VOCABULARY_PATH) -> DataFrame:
+    """df with out, the text of an array of ids; null for null."""
+    ranks, df = _shared(df.sparkSession, path), spread(df)
+
+    def text(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        token = {i: b for b, i in ranks.value.items()}
+        for batch in batches:
+            yield pa.array([None if x is None else b"".join(map(token.__getitem__, x)).decode("utf-8", "replace") for x in batch.to_pylist()], pa.string())
+
+    return df.withColumn(out, F.arrow_udf(text, "string")(ids))
 
 
 def count_tokens(df: DataFrame, text: str, out: str = "n_tokens", path: str = VOCABULARY_PATH) -> DataFrame:
     """df with out, the number of ids of text; null for null."""
     ranks, df = _shared(df.sparkSession, path), spread(df)
 
-    @F.pandas_udf("bigint")
-    def number(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def number(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encode = encoder(ranks.value)
-        for s in batches:
-            yield pd.Series([None if t is None else len(encode(t)) for t in s], dtype="Int64")
+        for batch in batches:
+            yield pa.array([None if t is None else len(encode(t)) for t in batch.to_pylist()], pa.int64())
 
-    return df.withColumn(out, number(text))
+    return df.withColumn(out, F.arrow_udf(number, "bigint").asNondeterministic()(text))

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tapesh.runtime import spread
+from tapesh.runtime import spread, worked_out
 
 #: Labelled texts a language that fit() reads, documents a language that widen() reads, and their longest.
 SAMPLES, WIDENED, LONGEST = 2000, 200, 2000
@@ -356,7 +356,8 @@ def _k_means(x: _Sparse, k: int, rounds: int) -> np.ndarray:
 
 def _sample(df: DataFrame, key: str, text: str, lang: Column, most: int, longest: int, among: Sequence[str] | None = None) -> list[tuple[str, str]]:
     """Texts and languages, at most most a language: those of smallest hash of the key, thinned before they reach the driver."""
-    rows = df.select(F.col(key).alias("k"), F.col(text).alias("t"), lang.alias("l")).where(F.col("l").isNotNull() & F.length("t").between(1, longest))
+    rows = df.select(F.col(key).alias("k"), F.col(text).alias("t"), lang.alias("l")).where(F.length("t").between(1, longest))
+    rows = worked_out(rows, "l").where(F.col("l").isNotNull())
     if among is not None:
         rows = rows.where(F.col("l").isin(*among))
     parts = F.lit(1 << 30)

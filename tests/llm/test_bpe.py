@@ -52,3 +52,10 @@ def test_columns(spark):
     assert {r["doc_id"]: r["ids"] for r in B.encode_texts(df, "text").collect()} == {1: [5303, 612], 2: [], 3: None}
     assert sorted((r["doc_id"], r["n"]) for r in B.count_tokens(df, "text", "n").collect()) == [(1, 2), (1, 2), (2, 0), (3, None)]
     assert B.encode_texts(df.limit(0), "text").count() == 0
+
+
+def test_texts_are_decoded_again(spark):
+    texts = ["", None, "Hello  world\n", "سلام دنیا", "\U0001f468\u200d\U0001f469", "<|endoftext|>", "a" * 5000]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    out = B.decode_texts(B.encode_texts(df, "t", "ids"), "ids", "back").collect()
+    assert [r["back"] for r in sorted(out, key=lambda r: r["i"])] == texts
