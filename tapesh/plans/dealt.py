@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tapesh.functions import jalali as J
 from tapesh.operators import split_fields as S
 from tapesh.operators import timestamps as T
 from tapesh.operators import value_frequency as V
@@ -54,7 +55,28 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.where(F.col("utc_us").isNotNull())
 
 
-QUERIES = {"p2_found": p2_found, "p2_value_stats": p2_value_stats, "p3_found": p3_found, "p4_found": p4_found}
+def p4_rendered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The moment of every post written in one of twelve ways, and read again."""
+    at = F.col("ingested_at").cast("timestamp")
+    local = F.from_utc_timestamp(at, "Asia/Kolkata")
+    us = F.unix_micros(at)
+    shown = lambda c, form: F.date_format(c, form)
+    jalali = lambda c: J.format_jalali(J.to_jalali(F.to_date(c)))
+    month = F.element_at(F.array(*[F.lit(m) for m in T.JALALI_MONTHS]), J.to_jalali(F.to_date(at))["m"])
+    ways = [
+        shown(at, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"), shown(at, "yyyyMMdd'T'HHmmss'Z'"), us.cast("string"), F.expr("cast(unix_micros(cast(ingested_at as timestamp)) div 1000 as string)"),
+        F.expr("cast(unix_micros(cast(ingested_at as timestamp)) div 1000000 as string)"), F.concat(shown(at, "EEE, dd MMM yyyy HH:mm:ss"), F.lit(" +0000")),
+        F.concat(F.lit("\t"), shown(at, "dd/MM/yyyy HH:mm:ss"), F.lit(" UTC ")), shown(at, "MMM d, yyyy hh:mm:ss a 'GMT'"), F.concat(jalali(at), shown(at, " HH:mm:ss+00:00")),
+        F.translate(F.concat(jalali(local), shown(local, " HH:mm:ss")), "0123456789", T.PERSIAN_DIGITS),
+        F.concat(J.to_jalali(F.to_date(at))["d"].cast("string"), F.lit(" "), month, F.lit(" "), J.to_jalali(F.to_date(at))["y"].cast("string"), shown(at, " - HH:mm:ss"), F.lit("Z")),
+        F.concat(shown(at, "yyyy.M.d H:mm:ss"), F.lit("[Etc/UTC]")),
+    ]
+    value = F.element_at(F.array(*ways), (F.col("post_id") % len(ways) + 1).cast("int"))
+    rows = read(spark, sf_dir, "posts").where(F.col("ingested_at").isNotNull()).select("post_id", value.alias("value"), F.lit("Asia/Kolkata").alias("zone"))
+    return T.to_utc_micros(rows, "value", "zone", None).select("post_id", "utc_us")
+
+
+QUERIES = {"p2_found": p2_found, "p2_value_stats": p2_value_stats, "p3_found": p3_found, "p4_found": p4_found, "p4_rendered": p4_rendered}
 
 _LONG = """WITH k AS (
   SELECT 'future_date' AS key_kind, future_date AS key_value, post_id, ingested_at, channel_id FROM posts
@@ -62,6 +84,8 @@ _LONG = """WITH k AS (
 l AS (SELECT * FROM k WHERE key_value IS NOT NULL AND key_value NOT IN ('', 'None'))"""
 
 ORACLES = {
+    "p4_rendered": """SELECT post_id, CASE post_id % 12 WHEN 0 THEN us WHEN 2 THEN us WHEN 3 THEN us // 1000 * 1000 ELSE us // 1000000 * 1000000 END AS utc_us
+FROM (SELECT post_id, epoch_us(ingested_at) AS us FROM posts WHERE ingested_at IS NOT NULL)""",
     "p2_found": f"""{_LONG}, r AS (SELECT *, row_number() OVER (PARTITION BY key_kind, key_value ORDER BY ingested_at NULLS FIRST, post_id) AS rn,
   count(*) OVER (PARTITION BY key_kind, key_value) AS n FROM l)
 SELECT key_kind, key_value, post_id FROM r WHERE rn = (n + 1) // 2""",
