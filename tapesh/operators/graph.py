@@ -109,13 +109,48 @@ def _star(edges: DataFrame, large: bool, rows: int) -> DataFrame:
     return out.where(F.col("u") != F.col("v")).distinct()
 
 
-def connected_components(edges: DataFrame, u: str = "src", v: str = "dst") -> DataFrame:
-    """node, component: the smallest node linked to each node of the edges."""
+#: Edges that one task takes in, some 200 bytes each.
+TASK_EDGES = 500_000
+
+
+def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """node, component of all edges (u, v) given, by union to the smaller root."""
+    above: dict = {}
+
+    def root(x):
+        top = x
+        while above[top] != top:
+            top = above[top]
+        while above[x] != top:
+            above[x], x = top, above[x]
+        return top
+
+    schema = None
+    for batch in batches:
+        schema = pa.schema([("node", batch.schema.field(0).type), ("component", batch.schema.field(0).type)])
+        for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            a, b = root(above.setdefault(a, a)), root(above.setdefault(b, b))
+            if a != b:
+                above[max(a, b)] = min(a, b)
+    if above:
+        nodes = list(above)
+        yield pa.RecordBatch.from_arrays([pa.array(nodes, schema.field(0).type), pa.array([root(x) for x in nodes], schema.field(0).type)], schema=schema)
+
+
+def connected_components(edges: DataFrame, u: str = "src", v: str = "dst", task_edges: int = TASK_EDGES) -> DataFrame:
+    """node, component: the smallest node linked to each node of the edges.
+
+    Distinct edges that one task can hold are united there, more by star steps
+    over tables; the result is the same.
+    """
     scratch = Scratch(edges.sparkSession, "components")
     real = edges.where(F.col(u).isNotNull() & F.col(v).isNotNull() & (F.col(u) != F.col(v)))
     cur = scratch.write(real.select(F.least(u, v).alias("u"), F.greatest(u, v).alias("v")).distinct())
     mark = lambda e: e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
     before = mark(cur)
+    if before[0] <= task_edges:
+        kind = cur.schema["u"].dataType.simpleString()
+        return scratch.write(cur.coalesce(1).mapInArrow(_forest, f"node {kind}, component {kind}"))
     while before[0]:
         rows = 2 * before[0]
         wide = _star(cur, True, rows)
@@ -137,14 +172,15 @@ def connected_components(edges: DataFrame, u: str = "src", v: str = "dst") -> Da
 FEW = 64
 
 
-def leiden(n: int, src: np.ndarray, dst: np.ndarray, weight: np.ndarray, total: float, resolution: float = 1.0) -> np.ndarray:
+def leiden(n: int, src: np.ndarray, dst: np.ndarray, weight: np.ndarray, total: float, resolution: float = 1.0, own: np.ndarray | None = None) -> np.ndarray:
     """Community of each of n nodes by modularity (Traag, Waltman, van Eck 2019), in fixed order, without chance.
 
-    Every pair is an edge once at most; total is the weight of the whole graph.
+    Every pair is an edge once at most; own is the weight inside each node;
+    total is the weight of the whole graph.
     """
     member = np.arange(n)
     part = np.arange(n)
-    own = np.zeros(n)  # inner weight of nodes merged in earlier rounds
+    own = np.zeros(n) if own is None else own  # later of nodes merged in earlier rounds too
     while True:
         adj = _Adjacency(n, src, dst, weight)
         degree = adj.sums() + 2 * own
@@ -252,21 +288,23 @@ def _refine(adj: _Adjacency, degree: np.ndarray, part: np.ndarray, total: float,
     return fine
 
 
-def communities(edges: DataFrame, scope: str, resolution: float = 1.0, most_edges: int = 500_000) -> DataFrame:
+def communities(edges: DataFrame, scope: str, resolution: float = 1.0) -> DataFrame:
     """<scope>, node, community (its smallest node): Leiden on the edges (<scope>, src, dst, weight) of each scope.
 
-    Communities never cross components, so each component is a task of its
-    own, with the weight of its whole scope. No component is coarsened,
-    divided or left out: most_edges is kept for callers and changes nothing.
+    An edge from a node to itself is weight inside the node. Communities never
+    cross components, so each component is a task of its own, with the weight
+    of its whole scope. No component is coarsened, divided or left out.
     """
-    spark = edges.sparkSession
-    scratch = Scratch(spark, "leiden")
-    e = edges.where(F.col("src").isNotNull() & F.col("dst").isNotNull() & (F.col("src") != F.col("dst")))
+    scratch = Scratch(edges.sparkSession, "leiden")
+    e = edges.where(F.col("src").isNotNull() & F.col("dst").isNotNull())
     e = e.groupBy(scope, F.least("src", "dst").alias("a"), F.greatest("src", "dst").alias("b")).agg(F.sum("weight").alias("w"))
     e = scratch.write(e)
     totals = e.groupBy(scope).agg(F.sum("w").alias("total"))
     comp = scratch.write(connected_components(e, "a", "b"))
-    e = scratch.write(lookup_join(e, comp.select(F.col("node").alias("a"), F.col("component").alias("comp")), ["a"]))
+    loops = e.where(F.col("a") == F.col("b"))
+    alone = loops.join(comp.select(F.col("node").alias("a")), "a", "left_anti").select(scope, F.col("a").alias("node"), F.col("a").alias("community"))
+    degrees = e.groupBy("a").agg(F.count(F.lit(1)).alias("n"))
+    e = scratch.write(lookup_join(e, comp.select(F.col("node").alias("a"), F.col("component").alias("comp")), ["a"], hot_values(degrees, "a", "n"), F.col("b")))
     sizes = scratch.write(e.groupBy("comp").agg(F.count(F.lit(1)).alias("n")))
     pairs = e.join(sizes.where("n = 1").select("comp"), "comp", "left_semi")
     ready = e.join(sizes.where("n > 1").select("comp"), "comp", "left_semi").join(small(totals), scope)
@@ -276,9 +314,11 @@ def communities(edges: DataFrame, scope: str, resolution: float = 1.0, most_edge
         a, b, w = (table.column(c).to_numpy() for c in ("a", "b", "w"))
         del table
         ids = np.unique(np.concatenate([np.unique(a), np.unique(b)]))
-        a, b = np.searchsorted(ids, a), np.searchsorted(ids, b)
+        a, b, w = np.searchsorted(ids, a), np.searchsorted(ids, b), w.astype(float)
+        own = np.bincount(a[a == b], weights=w[a == b], minlength=len(ids))
+        a, b, w = a[a != b], b[a != b], w[a != b]
         order = np.lexsort([b, a])
-        got = leiden(len(ids), a[order], b[order], w[order].astype(float), total, resolution)
+        got = leiden(len(ids), a[order], b[order], w[order], total, resolution, own)
         first = np.unique(got, return_index=True)[1]  # ids rise
         kind = key[1].type  # of a node
         return pa.table({scope: pa.repeat(key[0], len(ids)), "node": pa.array(ids, kind), "community": pa.array(ids[first[got]], kind)})
@@ -286,7 +326,37 @@ def communities(edges: DataFrame, scope: str, resolution: float = 1.0, most_edge
     kinds = {f.name: f.dataType.simpleString() for f in edges.schema.fields}
     found = ready.groupBy(scope, "comp").applyInArrow(run, f"`{scope}` {kinds[scope]}, node {kinds['src']}, community {kinds['src']}")
     ends = F.explode(F.array("a", "b"))  # a component of one edge is one community
-    return found.unionByName(pairs.select(scope, ends.alias("node"), F.col("a").alias("community")))
+    return found.unionByName(pairs.select(scope, ends.alias("node"), F.col("a").alias("community"))).unionByName(alone)
+
+
+def vector_communities(df: DataFrame, scope: str, row: str, vec: str, threshold: float, block_rows: int = 2048, resolution: float = 1.0) -> DataFrame:
+    """<scope>, node, community of rows linked by the cosine of their vectors: similarity_edges() and communities(), equal vectors taken as one node.
+
+    Rows of one vector are one node of the graph, with their number in the
+    weights of its edges and the weight of their own pairs inside it, so a
+    vector that a third of all rows have is one node and not its pairs. The
+    modularity is that of all rows; rows of one vector stay together. Rows
+    without a like have no community; neither have rows of length zero.
+    """
+    scratch = Scratch(df.sparkSession, "vectors")
+    rows = df.where(F.col(vec).isNotNull() & F.col(row).isNotNull()).select(scope, F.col(row).alias("id"), F.col(vec).alias("v"))
+    rows = rows.withColumn("h", F.xxhash64(scope, "v"))
+    sets = scratch.write(rows.groupBy("h", scope, "v").agg(F.min("id").alias("rep"), F.max("id").alias("last"), F.count(F.lit(1)).alias("n")), "sets")
+    edges = similarity_edges(sets.select(scope, "rep", "v"), scope, "rep", "v", threshold, block_rows)
+    positive = F.exists("v", lambda x: x != 0)
+    many = scratch.write(sets.where((F.col("rep") != F.col("last")) & positive), "many")
+    times = lambda k: many.select(F.col("rep").alias(k), F.col("n").cast("double").alias(f"n_{k}"))
+    one = F.lit(1.0)
+    edges = edges.join(times("src"), "src", "left").join(times("dst"), "dst", "left")
+    edges = edges.select(scope, "src", "dst", (F.col("weight") * F.coalesce("n_src", one) * F.coalesce("n_dst", one)).alias("weight"))
+    n = F.col("n").cast("double")
+    inside = many.select(scope, F.col("rep").alias("src"), F.col("rep").alias("dst"), (n * (n - 1) / 2).alias("weight"))
+    found = scratch.write(communities(scratch.write(edges.unionByName(inside), "edges"), scope, resolution), "found")
+    of = ["h", scope, "v"]
+    copies = lookup_join(rows, many.select(*of, "rep"), of, hot_values(many, "h", "n"), F.col("id")).where(F.col("id") != F.col("rep"))
+    at = found.select(F.col("node").alias("rep"), "community")
+    copies = lookup_join(copies.select(scope, "id", "rep"), at, ["rep"], hot_values(many, "rep", "n"), F.col("id"))
+    return found.unionByName(copies.select(scope, F.col("id").alias("node"), "community"))
 
 
 def modularity(edges: DataFrame, member: DataFrame, scope: str) -> DataFrame:

@@ -68,8 +68,7 @@ def detect(messages: DataFrame, cfg: EngineConfig, models: Models | None = None,
     classified = M.classify(messages, "text", models.classifier)
     kept = classified.where("passed_filter").select(F.to_date("ts").alias("day"), "msg_id", F.col("clean_text").alias("text"), "ts")
     embedded = scratch.write(spread(kept).withColumn("vec", models.embedder(F.col("text"))), "embedded")
-    edges = scratch.write(G.similarity_edges(embedded, "day", "msg_id", "vec", cfg.similarity, cfg.block_rows), "edges")
-    found = G.communities(edges, "day")
+    found = G.vector_communities(embedded, "day", "msg_id", "vec", cfg.similarity, cfg.block_rows)
     member = scratch.write(found.select("day", F.col("node").alias("msg_id"), F.col("community").alias("cluster")), "member")
     cands = scratch.write(C.candidates(embedded, member, cfg), "candidates")
     rows = W.candidate_rows(cands, now, cfg)
