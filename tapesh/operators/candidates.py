@@ -43,26 +43,39 @@ _SCALE, _SIM_STEPS = 1 << 53, (1 << 44, 1 << 26, 1 << 9, 1)
 _PLACES = {f"{name}{k}": f"cast({kind}({p} * (_n - 1)) as bigint) + 1" for name, p in (("p25", 0.25), ("p50", 0.5)) for k, kind in (("a", "floor"), ("b", "ceil"))}
 
 
-def cohesion(sims: DataFrame, cfg: EngineConfig) -> DataFrame:
+#: Members whose similarities one aggregation buffer takes, some 5 MB.
+BUFFERED = 100_000
+
+
+def cohesion(sims: DataFrame, cfg: EngineConfig, buffered: int = BUFFERED) -> DataFrame:
     """day, cluster, n, median_sim, p25_sim, cohesion, coverage.
 
-    The percentiles are those of linear interpolation; the places between
-    which they lie are found by weighted steps, so no task holds a cluster.
+    The percentiles are those of linear interpolation. Clusters of more than
+    buffered members have the places between which these lie found by weighted
+    steps, so no task holds a larger one.
     """
     scratch = Scratch(sims.sparkSession, "cohesion")
     rows = scratch.write(sims.select(*KEYS, F.col("sim").cast("double").alias("sim")), "sims")
-    covered = F.avg(F.when(F.col("sim") >= cfg.coverage_similarity, 1.0).otherwise(0.0))
-    counts = rows.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("n"), covered.alias("_covered"))
-    scaled = rows.select(*KEYS, F.floor(F.col("sim") * F.lit(float(_SCALE))).cast("bigint").alias("_sim"))
-    found = select_places(scaled, KEYS, {"_sim": _SIM_STEPS}, _PLACES)
-    at = {w: F.max(F.when(F.col("which") == w, F.col("_sim") / F.lit(float(_SCALE)))) for w in _PLACES}
-    stats = counts.join(found.groupBy(*KEYS).agg(*[c.alias(w) for w, c in at.items()]), KEYS)
-
-    def percentile(name: str, p: float) -> Column:
-        part = p * (F.col("n") - 1) - F.floor(p * (F.col("n") - 1))
-        return F.when(F.col("n") <= 1, 0.0).otherwise(F.col(f"{name}a") + part * (F.col(f"{name}b") - F.col(f"{name}a")))
-
-    out = stats.select(*KEYS, "n", percentile("p50", 0.5).alias("median_sim"), percentile("p25", 0.25).alias("p25_sim"), F.when(F.col("n") <= 1, 0.0).otherwise(F.col("_covered")).alias("coverage"))
+    covered = F.avg(F.when(F.col("sim") >= cfg.coverage_similarity, 1.0).otherwise(0.0)).alias("_covered")
+    n = F.count(F.lit(1)).alias("n")
+    large = rows.groupBy(*KEYS).agg(n, covered).where(F.col("n") > buffered)
+    some = large.limit(1).count() > 0
+    few = rows.join(large.select(*KEYS), KEYS, "left_anti") if some else rows
+    stats = few.groupBy(*KEYS).agg(n, covered, F.percentile("sim", F.lit(0.5)).alias("_p50"), F.percentile("sim", F.lit(0.25)).alias("_p25"))
+    if some:
+        large = scratch.write(large, "large")
+        scaled = rows.join(large.select(*KEYS), KEYS, "left_semi").select(*KEYS, F.floor(F.col("sim") * F.lit(float(_SCALE))).cast("bigint").alias("_sim"))
+        found = select_places(scaled, KEYS, {"_sim": _SIM_STEPS}, _PLACES)
+        at = [F.max(F.when(F.col("which") == w, F.col("_sim") / F.lit(float(_SCALE)))).alias(w) for w in _PLACES]
+        between = large.join(found.groupBy(*KEYS).agg(*at), KEYS)
+
+        def percentile(name: str, p: float) -> Column:
+            part = p * (F.col("n") - 1) - F.floor(p * (F.col("n") - 1))
+            return F.col(f"{name}a") + part * (F.col(f"{name}b") - F.col(f"{name}a"))
+
+        stats = stats.unionByName(between.select(*KEYS, "n", "_covered", percentile("p50", 0.5).alias("_p50"), percentile("p25", 0.25).alias("_p25")))
+    of_many = lambda c, out: F.when(F.col("n") <= 1, 0.0).otherwise(F.col(c)).alias(out)
+    out = stats.select(*KEYS, "n", of_many("_p50", "median_sim"), of_many("_p25", "p25_sim"), of_many("_covered", "coverage"))
     return out.withColumn("cohesion", 0.7 * F.col("median_sim") + 0.3 * F.col("p25_sim"))
 
 

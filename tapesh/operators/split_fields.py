@@ -227,7 +227,7 @@ def _known_runs(scratch: Scratch, lattices: DataFrame) -> DataFrame:
     longest = whole.mapInPandas(_lengths, "n int").agg(F.max("n")).first()[0] or 1
     schema = "_row bigint, _field string, start int, size int, name string"
     open_runs = lattices.where(F.size("atoms") > 1).mapInPandas(_open_runs(longest), schema)
-    return scratch.write(open_runs.join(whole, ["_field", "name"]), "known")
+    return open_runs.join(whole, ["_field", "name"])
 
 
 def _learn(scratch: Scratch, lattices: DataFrame, single: DataFrame, choice: DataFrame) -> DataFrame:
@@ -236,11 +236,11 @@ def _learn(scratch: Scratch, lattices: DataFrame, single: DataFrame, choice: Dat
     base = sure.unionByName(single.select("_field", "name")).groupBy("_field", "name").agg(F.count(F.lit(1)).cast("double").alias("n"))
     # the names in doubt are those of lattices with a choice; of the others only the sum matters
     asked = choice.select("_row", "_field", F.explode(F.array_distinct(F.concat("atoms", F.transform("joined", lambda x: x["name"])))).alias("name"))
-    asked = scratch.write(asked, "asked")
-    base = scratch.write(base, "base")
-    rest = base.groupBy("_field").agg(F.sum("n").alias("rest"))
-    doubtful = asked.select("_field", "name").distinct().join(base, ["_field", "name"], "left").select("_field", "name", F.coalesce("n", F.lit(0.0)).alias("base"))
-    doubtful = scratch.write(doubtful, "doubtful")
+    names = base.join(asked.select("_field", "name", F.lit(True).alias("doubt")).distinct(), ["_field", "name"], "full")
+    names = names.groupBy("_field", F.when(F.col("doubt"), F.col("name")).alias("name")).agg(F.sum("n").alias("n"), F.max("doubt").alias("doubt"))
+    names = scratch.write(names, "names")
+    rest = names.groupBy("_field").agg(F.sum("n").alias("rest"))
+    doubtful = names.where("doubt").select("_field", "name", F.coalesce("n", F.lit(0.0)).alias("base"))
     expected = doubtful.select("_field", "name", F.lit(0.0).alias("n"))
 
     def weigh(expected: DataFrame) -> DataFrame:
@@ -258,4 +258,4 @@ def _learn(scratch: Scratch, lattices: DataFrame, single: DataFrame, choice: Dat
         expected = now
         if (change or 0.0) < SETTLED:
             break
-    return scratch.write(weigh(expected), "weighed")
+    return weigh(expected)

@@ -91,17 +91,21 @@ def select_places(rows: DataFrame, keys: Sequence[str], order: dict[str, Sequenc
         last = k == len(steps) - 1
         done = (hit if last else hit.where("_cnt = 1")).select("which", "_key.*", *[F.col(o).alias(c) for c, o in zip(order, row, strict=True)], F.col("_n").alias("n"))
         found = done if found is None else found.unionByName(done)
+        if last:
+            return found
         more = hit.where("_cnt > 1")
-        if last or more.isEmpty():
+        n_more, most = more.agg(F.count(F.lit(1)), F.max("_cnt")).first()
+        if not n_more:
             return found
+        hot_of = lambda counts: hot_values(counts, "_hash", "_cnt", rows=most * len(places))
         of_value = ["_hash", "_key", name] if k == 0 else ["_hash", "which", "_key", name]
         rows_now = left.drop("_n", "_place").withColumn("_hash", F.xxhash64("_key", name))
         if k == 0:  # the places of a value go together, the rows are copied to each after the join
             asked = more.groupBy(*of_value).agg(F.max("_cnt").alias("_cnt"), F.max("_n").alias("_n"), F.collect_list(F.struct("which", "_place")).alias("_w"))
-            now = lookup_join(rows_now, asked.drop("_cnt"), of_value, hot_values(asked, "_hash", "_cnt"), F.struct(*row))
+            now = lookup_join(rows_now, asked.drop("_cnt"), of_value, hot_of(asked), F.struct(*row))
             now = now.select("*", F.explode("_w").alias("_p")).select("*", "_p.*").drop("_w", "_p")
         else:
-            now = lookup_join(rows_now, more.select(*of_value, "_n", "_place"), of_value, hot_values(more, "_hash", "_cnt"), F.struct(*row))
+            now = lookup_join(rows_now, more.select(*of_value, "_n", "_place"), of_value, hot_of(more), F.struct(*row))
         before, left = left, scratch.write(now.drop("_hash", name), f"rows{k}")
         scratch.drop(before)
     raise AssertionError("unreachable")

@@ -119,3 +119,39 @@ def test_first_of_a_list(spark):
     assert [got[i] for i in range(len(values))] == ["Tehran", "Qom", None, None, "Rey", "3", "[no literal", "[bare, words]", None, "it's", "a, b"]
     rows = spark.createDataFrame([("c", "['Qom', 'x']"), ("c", "Qom"), ("c", "Rey"), ("d", "[]"), ("d", None)], "k string, v string")
     assert [tuple(r) for r in K.most_common(rows, "k", "v", "mode", lists=True).collect()] == [("c", "Qom")]
+
+
+@pytest.mark.parametrize("buffered", [0, 7, 100_000])
+def test_cohesion_of_any_size(spark, buffered):
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    groups = {1: [0.5], 2: [0.25, -0.5], 3: [0.1] * 9, 4: list(rng.uniform(-1, 1, 40)), 5: list(rng.uniform(0.7, 0.700001, 33))}
+    rows = [(dt.date(2024, 1, 1), k, i, float(x)) for k, xs in groups.items() for i, x in enumerate(xs)]
+    sims = spark.createDataFrame(rows, "day date, cluster bigint, msg_id bigint, sim double")
+    got = {r["cluster"]: r for r in C.cohesion(sims, CFG, buffered).collect()}
+    assert got[1]["median_sim"] == got[1]["coverage"] == 0
+    for k in (2, 3, 4, 5):
+        assert got[k]["n"] == len(groups[k])
+        assert got[k]["median_sim"] == pytest.approx(np.percentile(groups[k], 50), abs=1e-12)
+        assert got[k]["p25_sim"] == pytest.approx(np.percentile(groups[k], 25), abs=1e-12)
+    assert C.cohesion(sims.limit(0), CFG, buffered).count() == 0
+
+
+def test_long_words_and_parts_across_a_blank_count(spark):
+    """Terms are found in words longer than the index takes, at their ends and across a blank."""
+    long = "x" * 70
+    day, vec = dt.date(2024, 1, 1), [1.0, 0.5]
+    texts = ["abc abc", "zabcy", f"{long}abcd", "qqabc defqq", "abc def", "abc def", f"{long} {long}"]
+    rows = [(day, i, t, [v + i / 10 for v in vec]) for i, t in enumerate(texts)]
+    messages = spark.createDataFrame(rows, "day date, msg_id bigint, text string, vec array<double>")
+    member = messages.select("day", "msg_id", F.lit(1).cast("bigint").alias("cluster"))
+    got = {r["term"]: r["score"] for r in C.keyword_scores(messages, member, CFG).collect()}
+    freq = {"abc": 4, "def": 2, "abc def": 2, long: 2}
+    vecs = [r[3] for r in rows]
+    unit = lambda x: [y / math.hypot(*x) for y in x]
+    mean = lambda xs: [sum(c) / len(xs) for c in zip(*xs, strict=True)]
+    for term, n in freq.items():
+        mine = mean([v for t, v in zip(texts, vecs, strict=True) if term in t])
+        want = 0.7 * sum(a * b for a, b in zip(unit(mine), unit(mean(vecs)), strict=True)) + 0.3 * math.log1p(n)
+        assert got[term] == pytest.approx(want, abs=1e-5), term
