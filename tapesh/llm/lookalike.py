@@ -32,7 +32,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapesh.runtime import Scratch, hot_values, lookup_join, rows_up_to, spread
+from tapesh.runtime import Scratch, hot_values, lookup_join, spread
 
 #: Tokens of a shard of the vocabulary.
 WORDS = 200_000
@@ -314,8 +314,8 @@ def canonical_text(df: DataFrame, text: str, out: str, scratch: Scratch | None =
     """df with out, the one form of text."""
     scratch = scratch or Scratch(df.sparkSession, "looks")
     other = spellings(df, text, scratch, words_per_task)
-    characters = F.sum(F.length("token") + F.length("form"))
-    if rows_up_to(other, most) > most or (other.agg(characters).first()[0] or 0) > SPELLING_CHARACTERS:
+    n, characters = other.agg(F.count(F.lit(1)), F.sum(F.length("token") + F.length("form"))).first()
+    if n > most or (characters or 0) > SPELLING_CHARACTERS:
         return _joined_text(df, text, out, other, scratch)
     shared = df.sparkSession.sparkContext.broadcast({r[0]: r[1] for r in other.select("token", "form").collect()})  # counted above
 
