@@ -104,7 +104,10 @@ def link_posts(posts: DataFrame, pairs: DataFrame) -> DataFrame:
     a, b = F.least("post_a", "post_b").alias("a"), F.greatest("post_a", "post_b").alias("b")
     real = F.col("post_a").isNotNull() & F.col("post_b").isNotNull() & (F.col("post_a") != F.col("post_b")) & F.col("shared_location").isNotNull()
     pairs = scratch.write(pairs.where(real).select(a, b, F.col("shared_location").alias("s")).distinct(), "pairs")
-    side = lambda k: named.select(F.col("post_id").alias(k), F.col("c").alias(f"c{k}"), F.col("location_entities").alias(f"l{k}"))
+    # the places of the posts that pairs name are moved once, not those of all posts twice
+    asked = pairs.select(F.explode(F.array("a", "b")).alias("post_id")).distinct()
+    named_by_pairs = scratch.write(named.join(asked, "post_id", "left_semi").select("post_id", "c", "location_entities"), "asked")
+    side = lambda k: named_by_pairs.select(F.col("post_id").alias(k), F.col("c").alias(f"c{k}"), F.col("location_entities").alias(f"l{k}"))
     n = pairs.count()
     at = lookup_join(pairs, side("a"), ["a"], hot_values(_counts(pairs, "a"), "a", "n", rows=n), F.col("b")).where(F.col("la").contains(F.col("s"))).drop("la")
     at = lookup_join(at, side("b"), ["b"], hot_values(_counts(pairs, "b"), "b", "n", rows=n), F.col("a")).where(F.col("lb").contains(F.col("s")))
