@@ -186,24 +186,29 @@ class Centroids:
     def __init__(self, texts: list[str], langs: list[str], samples: list[tuple[str, str]] = (), k: int = CENTROIDS, rounds: int = 12):
         self.samples = list(samples)
         self.langs = sorted(set(langs))
-        owner_of = np.array([self.langs.index(x) for x in langs], dtype=np.int64)
+        order = sorted(range(len(texts)), key=lambda i: langs[i])  # texts of a language follow one another
+        of_lang = np.array([self.langs.index(langs[i]) for i in order], dtype=np.int32)
         rows, counts, words = [], [], Words()
-        for t in texts:
-            found, _ = words.expand(np.array(words.look_up(words_of(t)), dtype=np.int64))
+        for i in order:
+            found, _ = words.expand(np.array(words.look_up(words_of(texts[i])), dtype=np.int64))
             grams, often = np.unique(found, return_counts=True)
-            rows.append(grams)
-            counts.append(often)
+            rows.append(grams.astype(np.int32))
+            counts.append(often.astype(np.float32))
             if len(words.ids) > REMEMBERED or words.held > HELD:
                 words.forget()
+        del words
         n = len(rows)
         sizes = np.array([len(r) for r in rows], dtype=np.int64)
         at = np.concatenate(rows) if n else np.zeros(0, np.int32)
+        values = np.concatenate(counts) if n else np.zeros(0, np.float32)
+        del rows, counts
         df = np.bincount(at, minlength=BUCKETS)
         # a gram of many languages (of place names, say) tells little, whatever its frequency
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        borders = np.searchsorted(of_lang, np.arange(len(self.langs) + 1))
         spread = np.zeros(BUCKETS, np.int64)
-        row_of = np.repeat(np.arange(n), sizes)
-        for j in range(len(self.langs)):
-            spread[np.unique(at[owner_of[row_of] == j])] += 1
+        for a, b in zip(borders[:-1], borders[1:], strict=True):
+            spread += np.bincount(at[ends[a] : ends[b]], minlength=BUCKETS) > 0
         many = len(self.langs)
         self.idf = np.full(BUCKETS, UNSEEN * np.log(1 + n), dtype=np.float32)
         seen = np.flatnonzero(df)
@@ -212,16 +217,18 @@ class Centroids:
         # rows of seen grams only, and one of zeros for all others
         self.row = np.full(BUCKETS, len(seen), np.int32)
         self.row[seen] = np.arange(len(seen))
-        values = np.concatenate(counts).astype(np.float32) * self.idf[at] if n else np.zeros(0, np.float32)
-        x = _Sparse(self.row[at], values, sizes, len(seen))
+        values *= self.idf[at]
+        at = self.row[at]
         tables, owner = [], []
-        for j in range(many):
-            mine = np.flatnonzero(owner_of == j)
-            tables.append(_k_means(x.take(mine), min(k, len(mine)), rounds))
+        for j, (a, b) in enumerate(zip(borders[:-1], borders[1:], strict=True)):
+            mine = slice(ends[a], ends[b])
+            tables.append(_k_means(_Sparse(at[mine], values[mine], sizes[a:b], len(seen)), min(k, b - a), rounds))
             owner += [j] * len(tables[-1])
+        del at, values
         self.owner = np.array(owner, dtype=np.int64)
-        table = np.concatenate(tables).T * self.idf[seen][:, None] if many else np.zeros((0, 0))
-        self.table = np.concatenate([table, np.zeros((1, table.shape[1]))]).astype(np.float32)
+        self.table = np.zeros((len(seen) + 1, len(owner)), np.float32)
+        for c, one in enumerate(one for t in tables for one in t):
+            self.table[:-1, c] = one * self.idf[seen]
         self._start()
 
     def _start(self) -> None:
@@ -321,13 +328,9 @@ class _Sparse:
 
     def __init__(self, at: np.ndarray, values: np.ndarray, sizes: np.ndarray, width: int):
         self.at, self.sizes, self.width = at, sizes, width
-        self.row = np.repeat(np.arange(len(sizes)), sizes)
-        norm = np.sqrt(np.bincount(self.row, np.square(values), minlength=len(sizes)))
-        self.values = (values / np.maximum(norm, 1e-9)[self.row]).astype(np.float32)
-
-    def take(self, rows: np.ndarray) -> _Sparse:
-        some = np.isin(self.row, rows)
-        return _Sparse(self.at[some], self.values[some], self.sizes[rows], self.width)
+        self.row = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
+        norm = np.sqrt(np.bincount(self.row, np.square(values), minlength=len(sizes))).astype(np.float32)
+        self.values = values / np.maximum(norm, np.float32(1e-9))[self.row]
 
     def dense(self, row: int) -> np.ndarray:
         out = np.zeros(self.width, np.float32)
