@@ -233,14 +233,16 @@ def _known_runs(scratch: Scratch, lattices: DataFrame) -> DataFrame:
 def _learn(scratch: Scratch, lattices: DataFrame, single: DataFrame, choice: DataFrame) -> DataFrame:
     """choice with the learned weights of the names of each lattice, and the total of its field."""
     sure = lattices.join(choice.select("_row"), "_row", "left_anti").select("_field", F.explode("atoms").alias("name"))
-    base = sure.unionByName(single.select("_field", "name")).groupBy("_field", "name").agg(F.count(F.lit(1)).cast("double").alias("n"))
     # the names in doubt are those of lattices with a choice; of the others only the sum matters
     asked = choice.select("_row", "_field", F.explode(F.array_distinct(F.concat("atoms", F.transform("joined", lambda x: x["name"])))).alias("name"))
-    names = base.join(asked.select("_field", "name", F.lit(True).alias("doubt")).distinct(), ["_field", "name"], "full")
+    once, nothing = F.lit(1.0).alias("n"), F.lit(None).cast("boolean").alias("doubt")
+    said = sure.unionByName(single.select("_field", "name")).select("_field", "name", once, nothing)
+    said = said.unionByName(asked.select("_field", "name", F.lit(0.0).alias("n"), F.lit(True).alias("doubt")))
+    names = said.groupBy("_field", "name").agg(F.sum("n").alias("n"), F.max("doubt").alias("doubt"))
     names = names.groupBy("_field", F.when(F.col("doubt"), F.col("name")).alias("name")).agg(F.sum("n").alias("n"), F.max("doubt").alias("doubt"))
     names = scratch.write(names, "names")
     rest = names.groupBy("_field").agg(F.sum("n").alias("rest"))
-    doubtful = names.where("doubt").select("_field", "name", F.coalesce("n", F.lit(0.0)).alias("base"))
+    doubtful = names.where("doubt").select("_field", "name", F.col("n").alias("base"))
     expected = doubtful.select("_field", "name", F.lit(0.0).alias("n"))
 
     def weigh(expected: DataFrame) -> DataFrame:
@@ -258,4 +260,4 @@ def _learn(scratch: Scratch, lattices: DataFrame, single: DataFrame, choice: Dat
         expected = now
         if (change or 0.0) < SETTLED:
             break
-    return weigh(expected)
+    return scratch.write(weigh(expected), "weighed")
