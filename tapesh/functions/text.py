@@ -17,7 +17,8 @@ _EMOJI_CLASS = r"[\x{1f1e6}-\x{1f1ff}\x{1f300}-\x{1faff}\x{2300}-\x{23ff}\x{2600
 EMOJI = rf"(?:{_EMOJI_CLASS}\x{{200d}}?)+"
 URL = rf"https?://{NS}+|www\.{NS}+"
 LONG_URL = rf"https?://{NS}+|www\.{NS}+|t\.me/{NS}+|twitter\.com/{NS}+|x\.com/{NS}+"
-NOT_WORD = rf"[^\p{{L}}\p{{N}}_{BLANKS}\x{{0622}}-\x{{06cc}}]"
+#: Runs between words: blanks and what is neither letter nor digit.
+BETWEEN = r"[^\p{L}\p{N}_\x{0622}-\x{06cc}]+"
 PERSIAN_DIGITS, ARABIC_DIGITS = "۰۱۲۳۴۵۶۷۸۹", "٠١٢٣٤٥٦٧٨٩"
 # Persian function words that make no keyword.
 STOP_WORDS = (
@@ -37,17 +38,17 @@ def squeeze(c: Column) -> Column:
 
 def clean_text(c: Column) -> Column:
     """Without links, mentions, tags and emoji; the zero-width non-joiner becomes a blank. Null gives ''."""
-    for pattern, by in ((URL, ""), (f"@{NS}+", ""), (f"#{NS}+", ""), (EMOJI, ""), (r"\x{200c}", " ")):
-        c = F.regexp_replace(c, pattern, by)
-    return F.coalesce(squeeze(c), F.lit(""))
+    for pattern in (URL, f"[@#]{NS}+", EMOJI):
+        c = F.regexp_replace(c, pattern, "")
+    return F.coalesce(F.trim(F.regexp_replace(c, rf"[{BLANKS}\x{{200c}}]+", " ")), F.lit(""))
 
 
 def normalize_text(c: Column) -> Column:
     """Persian letters for Arabic ones, words and blanks only."""
     c = F.translate(c, "يك", "یک")
-    for pattern in (URL, f"[@#]{NS}+", NOT_WORD):
+    for pattern in (URL, f"[@#]{NS}+", BETWEEN):
         c = F.regexp_replace(c, pattern, " ")
-    return squeeze(c)
+    return F.trim(c)
 
 
 def clean_message(c: Column) -> Column:
