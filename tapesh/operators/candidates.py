@@ -163,9 +163,10 @@ def keyword_scores(messages: DataFrame, member: DataFrame, cfg: EngineConfig) ->
     it (as a substring); its score 0.7 cosine to the centroid and 0.3 of the
     logarithm of its frequency.
     """
-    rows = messages.select("msg_id", "text", "vec").join(member, "msg_id").withColumn("_norm", T.normalize_text(F.col("text")))
-    terms = term_counts(rows, KEYS, "text", cfg.min_term_count)
-    scratch = Scratch(rows.sparkSession, "keywords")
+    scratch = Scratch(messages.sparkSession, "keywords")  # the rows are read several times
+    rows = messages.select("msg_id", "text", "vec").join(member, "msg_id")
+    rows = scratch.write(rows.select(*KEYS, "msg_id", "vec", T.normalize_text(F.col("text")).alias("_norm")), "rows")
+    terms = term_counts(rows, KEYS, "_norm", cfg.min_term_count)  # a normalised text stays as it is
     terms = scratch.write(terms, "terms")
     words = F.split("_norm", " ")
     pairs = F.zip_with(words, F.slice(words, 2, F.greatest(F.size(words), F.lit(1))), lambda a, b: F.concat(a, F.lit(" "), b))

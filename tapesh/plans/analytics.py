@@ -20,7 +20,7 @@ from tapesh.operators import candidates as C
 from tapesh.operators import graph as G
 from tapesh.operators import keycluster as K
 from tapesh.plans import pipelines as P
-from tapesh.runtime import Scratch, read
+from tapesh.runtime import Scratch, read, spread
 from tapesh.sinks import writers as W
 from tapesh.sources import messages as S
 
@@ -46,6 +46,11 @@ def posts(spark: SparkSession, d: str) -> DataFrame:
     return read(spark, d, "posts")
 
 
+def texts(spark: SparkSession, d: str) -> DataFrame:
+    """post_id and txtContent, on all cores, since patterns cost more than moving a small table."""
+    return spread(posts(spark, d).select("post_id", "txtContent"))
+
+
 def vec_messages(spark: SparkSession, d: str) -> DataFrame:
     """day, msg_id, text, ts, vec."""
     v, doc = read(spark, d, "embeddings"), read(spark, d, "documents")
@@ -165,7 +170,7 @@ def dropna_prepare(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _classified(spark: SparkSession, d: str) -> DataFrame:
-    docs = read(spark, d, "documents").select("doc_id", "text", F.col("posted_at").alias("ts"))
+    docs = spread(read(spark, d, "documents").select("doc_id", "text", F.col("posted_at").alias("ts")))
     return M.classify(docs, "text", M.rule_classifier())
 
 
@@ -186,12 +191,12 @@ def daily_counts(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"SELECT post_id, {_clean('txtContent')} AS clean_text FROM posts")
 def clean_text(spark: SparkSession, d: str) -> DataFrame:
-    return posts(spark, d).select("post_id", T.clean_text(F.col("txtContent")).alias("clean_text"))
+    return texts(spark, d).select("post_id", T.clean_text(F.col("txtContent")).alias("clean_text"))
 
 
 @query(f"SELECT post_id, {_norm('txtContent')} AS norm FROM posts")
 def normalize_text(spark: SparkSession, d: str) -> DataFrame:
-    return posts(spark, d).select("post_id", T.normalize_text(F.col("txtContent")).alias("norm"))
+    return texts(spark, d).select("post_id", T.normalize_text(F.col("txtContent")).alias("norm"))
 
 
 @query(
@@ -211,13 +216,13 @@ def entity_set_split(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"SELECT post_id, array_to_string({_tokens(_norm('txtContent'))}, '|') AS words FROM posts WHERE txtContent IS NOT NULL")
 def token_filter(spark: SparkSession, d: str) -> DataFrame:
-    rows = posts(spark, d).where(F.col("txtContent").isNotNull())
+    rows = texts(spark, d).where(F.col("txtContent").isNotNull())
     return rows.select("post_id", F.array_join(T.tokens(T.normalize_text(F.col("txtContent"))), "|").alias("words"))
 
 
 @query(f"WITH w AS (SELECT post_id, {_tokens(_norm('txtContent'))} AS w FROM posts WHERE txtContent IS NOT NULL) SELECT post_id, array_to_string({_pairs('w')}, '|') AS pairs FROM w")
 def bigrams(spark: SparkSession, d: str) -> DataFrame:
-    rows = posts(spark, d).where(F.col("txtContent").isNotNull()).select("post_id", T.tokens(T.normalize_text(F.col("txtContent"))).alias("w"))
+    rows = texts(spark, d).where(F.col("txtContent").isNotNull()).select("post_id", T.tokens(T.normalize_text(F.col("txtContent"))).alias("w"))
     return rows.select("post_id", F.array_join(T.bigrams(F.col("w")), "|").alias("pairs"))
 
 
@@ -227,7 +232,7 @@ t AS (SELECT channel_id, unnest(list_concat(w, {_pairs('w')})) AS term FROM w)""
 
 @query(f"WITH {_TERMS} SELECT channel_id, term, count(*) AS freq FROM t GROUP BY ALL HAVING count(*) >= 2")
 def term_counts(spark: SparkSession, d: str) -> DataFrame:
-    return C.term_counts(posts(spark, d), ["channel_id"], "txtContent")
+    return C.term_counts(spread(posts(spark, d).select("channel_id", "txtContent")), ["channel_id"], "txtContent")
 
 
 @query(

@@ -9,7 +9,7 @@ from tapesh.functions import jalali as J
 from tapesh.operators import split_fields as S
 from tapesh.operators import timestamps as T
 from tapesh.operators import value_frequency as V
-from tapesh.runtime import read, small
+from tapesh.runtime import read, small, spread
 
 KEYS = ["key_kind", "key_value"]
 
@@ -46,7 +46,7 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     zones = small(read(spark, sf_dir, "channels").select("channel_id", "tz_name", "date_order"))
-    posts = read(spark, sf_dir, "posts").select("post_id", "channel_id", "date").where(F.col("date").isNotNull())
+    posts = spread(read(spark, sf_dir, "posts").select("post_id", "channel_id", "date").where(F.col("date").isNotNull()))
     posts = T.to_utc_micros(posts.join(zones, "channel_id", "left"), "date", "tz_name", "date_order")
     tweets = read(spark, sf_dir, "tweets_2").select("tweet_id", "shdate").where(F.col("shdate").isNotNull()).distinct()
     tweets = T.to_utc_micros(tweets.withColumn("_tz", F.lit("Asia/Tehran")), "shdate", "_tz", None)
