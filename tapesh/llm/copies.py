@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tapesh.runtime import Scratch, hot_values, lookup_join
+from tapesh.runtime import Scratch, hot_values, lookup_join, spread
 
 _LAYOUT = r"[\p{P}$+<=>^`|~ \t\n\r\f\x0B]+"
 _BETWEEN = r"[\n\r|;؛]+"
@@ -78,7 +78,7 @@ def same_counts(pairs: DataFrame, by: list[str], a: str, b: str) -> DataFrame:
 def copies(df: DataFrame, key: str, text: str, scratch: Scratch | None = None) -> DataFrame:
     """keep_id, <key>: each row that is not the smallest key of its set of copies."""
     scratch = scratch or Scratch(df.sparkSession, "copies")
-    rows = df.select(F.col(key).alias("id"), F.col(text).alias("t")).where(F.col("id").isNotNull() & F.col("t").rlike(r"[\p{L}\p{N}]"))
+    rows = spread(df.select(F.col(key).alias("id"), F.col(text).alias("t")).where(F.col("id").isNotNull() & F.col("t").isNotNull())).where(F.col("t").rlike(r"[\p{L}\p{N}]"))
     prints = scratch.write(rows.select("id", fields_of(F.col("t")).alias("f")).select("id", *fingerprint(F.col("f"))), "prints")
     sets, members = _members(scratch, prints)
     # only rows of sets of copies have their texts moved; a text goes by its id and its fingerprint

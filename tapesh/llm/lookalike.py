@@ -290,7 +290,7 @@ def spellings(df: DataFrame, text: str, scratch: Scratch, words_per_task: int =
     Tokens that look the same are in one shard, so that each meets every
     spelling of it that the column has.
     """
-    tokens = df.select(F.explode(_tokens(F.col(text))).alias("token"))
+    tokens = spread(df.select(F.col(text).alias("t"))).select(F.explode(_tokens(F.col("t"))).alias("token"))
     counts = scratch.write(tokens.groupBy("token").agg(F.count(F.lit(1)).alias("n")), "tokens")
     shared = df.sparkSession.sparkContext.broadcast(confusables(df.sparkSession))  # some hundred letters
 
